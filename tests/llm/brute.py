@@ -44,3 +44,37 @@ def op2(rows, window=200):
         spans = len(re.findall(b"\x01+", bytes(gone)))
         out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def shingles(text, k=5):
+    ws = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)} if len(ws) >= k else ({tuple(ws)} if ws else set())
+
+
+def op8(rows, percent=85):
+    sets = [shingles(t) for _, t in rows]
+    ids = [float("inf") if d is None else d for d, _ in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    where = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            where.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        for j in {j for x in s for j in where[x] if j > i}:
+            both = len(s & sets[j])
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                up[root(i)] = root(j)
+    least = {}
+    for i in range(len(rows)):
+        least[root(i)] = min(least.get(root(i), float("inf")), ids[i])
+    out = []
+    for i, (d, _) in enumerate(rows):
+        c = least[root(i)]
+        out.append((d, len(sets[i]), None if c == float("inf") else c, ids[i] == c))
+    return out
