@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sarweave.llm import licenses, minhash, oracles, pii, quality_rules, sharding, substring_dedup, suffix_dedup
+from sarweave.llm import licenses, minhash, oracles, pii, quality_crf, quality_rules, sharding, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,5 +56,9 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op4_quality_rules, op5_license_scan, op6_pii, op7_sharding, op8_minhash)}
+def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op4_quality_rules, op5_license_scan, op6_pii, op7_sharding, op8_minhash, op9_quality_crf)}
 ORACLES = oracles.ORACLES
