@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sarweave.llm import licenses, minhash, oracles, pii, quality_crf, quality_rules, sharding, substring_dedup, suffix_dedup
+from sarweave.llm import decontaminate, licenses, minhash, mixing, oracles, pii, quality_crf, quality_rules, sharding, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with benchmark items, a row for each pair."""
+    out = decontaminate.flag_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.inline("leaks"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -60,5 +66,12 @@ def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op4_quality_rules, op5_license_scan, op6_pii, op7_sharding, op8_minhash, op9_quality_crf)}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each document its tokens, expected shares of the domains, fitted rate and copies."""
+    out = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)]
+    return out.select("doc_id", "source", "tokens", *shares, "rate", "copies")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_decontamination, op4_quality_rules, op5_license_scan, op6_pii, op7_sharding, op8_minhash, op9_quality_crf, op10_mixing)}
 ORACLES = oracles.ORACLES
