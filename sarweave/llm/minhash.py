@@ -11,7 +11,10 @@ confirmed on the full sets.
 
 Only components are wanted, so that pairs inside one are skipped: rounds first compare each node with
 one leader of its lists and merge what is confirmed; at the end all pairs of lists that
-still lie in different components are compared. No pair of texts above the threshold is left out.
+still lie in different components are compared. Lists of up to LONG nodes are joined for that. Nodes
+that share longer lists form clusters, cut into blocks of bounded bytes; each two blocks of a
+cluster meet in one task that merges the posting lists of their full sets and gives links only,
+one at most for each two components. No pair of texts above the threshold is left out.
 
 A null or empty text has an empty set and is linked with nothing. A null doc_id ranks after all
 others; its component_id is null if no document with an id is reached. Rows with equal sets are in
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +41,11 @@ SHINGLE = 5
 COORDINATES = 64
 #: Chance to lose a pair that is just at the threshold.
 MISS = 1e-7
-#: Rounds with leaders before all pairs that are left are compared.
-ROUNDS = 6
+#: Most rounds with leaders before all pairs that are left are compared.
+ROUNDS = 2
+#: Nodes of a posting list that may be paired by a join, and bytes of sets in a block of a cluster.
+LONG = 12
+BLOCK_BYTES = 16 << 20
 _RNG = np.random.Generator(np.random.PCG64(64))
 MASKS = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 FACTORS = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * K.U(2) + K.U(1)
@@ -139,6 +146,82 @@ def _links(pairs: DataFrame, nodes: DataFrame, t: int, percent: int) -> DataFram
     return confirmed(both, percent)
 
 
+def merged_links(sets: list[np.ndarray], comp: np.ndarray, left: int, same: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that join components among sets: of the first left ones with the others, or (same) of all with all.
+
+    For each set the posting lists of its rarest shingles (its prefix) propose partners in other
+    components; overlaps are counted by merging all its lists, or set by set where few are proposed.
+    """
+    n = np.array([len(x) for x in sets])
+    at = np.concatenate(([0], np.cumsum(n)))
+    _, of, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    posted = np.repeat(np.arange(len(sets)), n)[np.argsort(of, kind="stable")]
+    ends = np.cumsum(df)
+    begins = ends - df
+    up = np.arange(comp.max() + 1)
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    out = []
+    for x in range(len(sets) if same else left):
+        mine = of[at[x] : at[x + 1]]
+        order = mine[np.argsort(df[mine], kind="stable")]
+        prefix = order[: len(order) + (-percent * len(order) // 100) + 1]
+        near = np.unique(np.concatenate([posted[begins[k] : ends[k]] for k in prefix]))
+        near = near[(near > x) if same else (near >= left)]
+        near = near[(100 * n[near] >= percent * n[x]) & (100 * n[x] >= percent * n[near]) & (comp[near] != comp[x])]
+        if not len(near):
+            continue
+        if len(near) > 24:
+            both = np.bincount(np.concatenate([posted[begins[k] : ends[k]] for k in mine]), minlength=len(sets))[near]
+        else:
+            both = np.array([np.isin(mine, of[at[y] : at[y + 1]], assume_unique=True).sum() for y in near])
+        for y in near[100 * both >= percent * (n[x] + n[near] - both)].tolist():
+            a, b = root(comp[x]), root(comp[y])
+            if a != b:
+                up[a] = b
+                out.append((x, y))
+    return out
+
+
+def _cluster_links(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of nodes (key, node, comp) that share long lists."""
+    first = lists.groupBy("key").agg(F.min("node").alias("b"))
+    cluster = components(lists.join(first, "key").select(F.col("node").alias("a"), "b"))
+    members = lists.select("node", "comp").distinct().join(cluster, "node", "left").select("node", "comp", F.coalesce("root", "node").alias("cluster"))
+    members = materialize(members.join(nodes.select("node", "hashes"), "node"), "clusters")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("hashes")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    own = members.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = own.select("cluster", "node", "comp", "hashes", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        same = t["i"][0].as_py() == t["j"][0].as_py()
+        order = np.argsort(t["own"].to_numpy() != t["i"][0].as_py(), kind="stable")
+        left = int((t["own"].to_numpy() == t["i"][0].as_py()).sum())
+        raw = t["hashes"].combine_chunks()
+        sets = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in order.tolist()]
+        comp = pd.factorize(pd.MultiIndex.from_arrays([t["comp"].combine_chunks().field(c).to_numpy() for c in (0, 1)]))[0][order]
+        links = [] if not same and left == len(sets) else merged_links(sets, comp, left, same, percent)
+        x, y = (pa.array(order[np.array([p[c] for p in links], dtype=np.int64)]) for c in (0, 1))
+        return pa.table({"a": t["node"].take(x), "b": t["node"].take(y)})
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(run, "a struct<rank:long,th:long>, b struct<rank:long,th:long>")
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after links between nodes."""
+    of = comp.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+    between = links.join(comp.withColumnRenamed("node", "a"), "a").join(of, "b").select(F.col("comp").alias("a"), F.col("y").alias("b"))
+    roots = components(between).withColumnRenamed("node", "comp")
+    return materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "components")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable), kept (doc_id = component_id)."""
     t = least_matches(percent / 100)
@@ -156,34 +239,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     hashes = full_sets(docs.join(alive, ["rank", "th"]), shingle).groupBy("rank", "th").agg(F.first("hashes").alias("hashes"))
     nodes = materialize(hashes.select(own.alias("node"), "hashes").join(sets.select("node", "sig"), "node"), "nodes")
     comp = lists.select("node", F.col("node").alias("comp"))
-    tested, whole = None, False
+    tested = None
     for turn in range(ROUNDS + 1):
-        whole = whole or turn == ROUNDS
         at = prefix.join(comp, "node")
-        mixed = at.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("lead"), F.max("comp").alias("high")).where("lead.comp < high").select("key", "lead")
-        at = at.join(mixed, "key")
-        if whole:
-            other = at.select("key", F.col("node").alias("b"), F.col("comp").alias("other"))
-            pairs = at.select("key", F.col("node").alias("a"), "comp").join(other, "key").where("comp < other").select("a", "b")
-        else:
+        mixed = at.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("lead"), F.max("comp").alias("high"), F.count("*").alias("length"))
+        at = at.join(mixed.where("lead.comp < high").select("key", "lead", "length"), "key")
+        if turn < ROUNDS:
             pairs = at.where("comp != lead.comp").groupBy(F.col("node").alias("b")).agg(F.min("lead.node").alias("a"))
+        else:
+            at = materialize(at.drop("lead"), "lists")
+            short = at.where(F.col("length") <= LONG)
+            other = short.select("key", F.col("node").alias("b"), F.col("comp").alias("other"))
+            pairs = short.select("key", F.col("node").alias("a"), "comp").join(other, "key").where("comp < other").select("a", "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        links = materialize(_links(pairs, nodes, t, percent), "confirmed")
+        links = _links(pairs, nodes, t, percent)
+        if turn == ROUNDS:
+            links = links.unionByName(_cluster_links(at.where(F.col("length") > LONG), nodes, percent))
+        comp = _merged(comp, materialize(links, "confirmed"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if links.isEmpty():
-            if whole:
-                break
-            whole = True
-            continue
-        of = comp.select(F.col("node").alias("b"), F.col("comp").alias("y"))
-        merged = links.join(comp.withColumnRenamed("node", "a"), "a").join(of, "b").select(F.col("comp").alias("a"), F.col("y").alias("b"))
-        roots = components(merged).withColumnRenamed("node", "comp")
-        comp = materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "components")
-        if whole:
-            break
     of_set = sets.select("s1", "s2", "node").join(comp, "node", "left").select("s1", "s2", F.coalesce("comp", "node")["rank"].alias("least"))
     joined = signed.drop("sig").join(of_set, ["s1", "s2"], "left")
     least = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("rank"))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from sarweave.llm import minhash
 from sarweave.llm.components import components
 from sarweave.llm.minhash import least_matches, near_duplicates
 from tests.llm import brute
@@ -37,8 +38,10 @@ def made(seed):
     return list(zip(ids, out, strict=True)) + [(5, "one two"), (5, "one two")]
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_small(spark, percent):
+@pytest.mark.parametrize(("percent", "long", "block"), [(80, 12, 1 << 20), (85, 1, 2000), (85, 10**6, 1)])
+def test_small(spark, monkeypatch, percent, long, block):
+    monkeypatch.setattr(minhash, "LONG", long)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block)
     data = made(percent)
     out = near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), percent)
     assert rows(out) == sorted(brute.op8(data, percent), key=repr)
