@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -56,3 +57,9 @@ def drop_materialized(df: DataFrame) -> None:
     for f in df.inputFiles()[:1]:
         p = jvm.org.apache.hadoop.fs.Path(f).getParent()
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
