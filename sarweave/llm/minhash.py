@@ -222,8 +222,8 @@ def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "components")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable), kept (doc_id = component_id)."""
+def near_groups(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
+    """Of each document doc_id, rank, th, n (size of its set) and root, the least (rank, th) that it reaches (null where n is 0)."""
     t = least_matches(percent / 100)
     docs = ranked(docs)
     signed = materialize(sign(docs, shingle), "signatures")
@@ -260,9 +260,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
             links = links.unionByName(_cluster_links(at.where(F.col("length") > LONG), nodes, percent))
         comp = _merged(comp, materialize(links, "confirmed"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-    of_set = sets.select("s1", "s2", "node").join(comp, "node", "left").select("s1", "s2", F.coalesce("comp", "node")["rank"].alias("least"))
+    of_set = sets.select("s1", "s2", "node").join(comp, "node", "left").select("s1", "s2", F.coalesce("comp", "node").alias("root"))
     joined = signed.drop("sig").join(of_set, ["s1", "s2"], "left")
-    least = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("rank"))
-    return joined.select(
+    return joined.select("doc_id", "rank", "th", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id reachable), kept (doc_id = component_id)."""
+    least = F.coalesce("root.rank", "rank")
+    return near_groups(docs, percent, shingle).select(
         "doc_id", F.col("n").alias("n_shingles"), F.nullif(least, F.lit(LAST)).alias("component_id"), (least == F.col("rank")).alias("kept")
     )
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs, with all their columns, but one of each group: the first by doc_id, then by hash of the text.
+
+    Texts without words are in no group, but of rows equal in doc_id and text one stays, whatever else they hold.
+    """
+    groups = near_groups(docs, percent, shingle)
+    stay = groups.where("n = 0 OR (rank = root.rank AND th = root.th)").select(F.col("rank").alias("__sw_rank"), F.col("th").alias("__sw_th")).distinct()
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumns({"__sw_rank": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "__sw_th": F.xxhash64(text)})
+    keys = ["__sw_rank", "__sw_th"]
+    return keyed.join(stay, keys, "left_semi").dropDuplicates(keys).drop(*keys)

@@ -145,14 +145,16 @@ def replay(p: np.ndarray, residuals: np.ndarray, ridge: float) -> tuple[np.ndarr
 def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of rows with tokens and posterior: the residuals of all steps, the domains' tokens, and the targets.
 
-    The total is the greatest for which no domain needs more tokens than it has.
+    The domain of the greatest share sets the total by its own tokens; others are asked for their share of it, or
+    for all that they have where that is less, so that nothing scarce has to be repeated.
     """
     k = len(DOMAINS)
     own = members.agg(*(F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[c]), F.lit(0.0)) for c in range(k))).first()
     own = np.array(own, dtype=float)
     share = np.array([targets[d] for d in DOMAINS], dtype=float)
     share = share / share.sum()
-    want = share * min((o / s for o, s in zip(own, share, strict=True) if s > 0), default=0.0)
+    lead = int(share.argmax())
+    want = np.minimum(own, share * own[lead] / share[lead])
     scale = np.maximum(np.maximum(own, want), 1.0)
     past = np.zeros((0, k))
     for _ in range(steps):

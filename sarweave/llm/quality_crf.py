@@ -184,10 +184,10 @@ def text_scores(data: np.ndarray, offsets: np.ndarray, w: np.ndarray, trans: np.
     return np.clip((good[bounds[1:]] - good[bounds[:-1]]) / np.maximum(total, 1), 0, 1)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """docs with a column score; one of that name is replaced."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score") -> DataFrame:
+    """docs with a column of scores; one of that name is replaced."""
     w, trans = model
-    docs = docs.drop("score")
+    docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,9 +195,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
             for i, j in K.pieces(offsets):
                 s = text_scores(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], w, trans)
                 part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s)], names=[*b.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s)], names=[*b.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.01"
 def solved(tokens, p, share, ridge=m.RIDGE):
     """The same problem by many plain projected-gradient steps."""
     own = tokens @ p
-    want = share * min(o / s for o, s in zip(own, share, strict=True) if s > 0)
+    want = np.minimum(own, share * own[share.argmax()] / share.max())
     scale, r = np.maximum(own, want), np.ones(len(p))
     for _ in range(20000):
         r = np.maximum(0, r - (p @ (((tokens * r) @ p - want) / scale) + ridge * (r - 1)) / (1 + ridge))
