@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sarweave.queries import ORACLES, QUERIES, names  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = "pricing_summary"
+FLAGSHIP = "path_parts"
