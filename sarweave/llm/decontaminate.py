@@ -36,7 +36,6 @@ SIMILARITY = 0.8
 GROUP_ITEMS = 64
 BLOCK_GROUPS = 48
 LEAK = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start_word", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("similarity", T.DoubleType())]))
-LEAK_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("similarity", pa.float64())]))
 
 
 def near_values(distance: int) -> np.ndarray:
@@ -199,7 +198,7 @@ def flag_leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY,
                     part = b.slice(i, j - i)
                     if found:
                         before = part.column(at).to_pylist()
-                        part = part.set_column(at, "leaks", pa.array([x + found.get(r, []) for r, x in enumerate(before)], LEAK_ARROW))
+                        part = part.set_column(at, b.schema.field(at), pa.array([x + found.get(r, []) for r, x in enumerate(before)], b.schema.field(at).type))
                     yield part
 
         docs = docs.mapInArrow(run, docs.schema)
