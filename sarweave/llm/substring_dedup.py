@@ -96,7 +96,7 @@ def _kept(text: bytes, removed, starts, ends) -> tuple[int, int, bytes]:
     return len(words), int(removed.sum()), b" ".join([words[i] for i in np.flatnonzero(~removed).tolist()])
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_windows: int = 300_000) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_windows: int = 20_000) -> DataFrame:
     """doc_id, n_words, n_removed, and kept: the words that stay, joined by one space, as UTF-8."""
     scheme = winnow.Scheme("words", window, gram, shard_windows)
     docs = winnow.ranked(docs)

@@ -144,7 +144,7 @@ def _kept(text: bytes, removed, starts, ends) -> tuple[int, int, int, bytes]:
     return len(text), int(removed.sum()), len(begin), np.frombuffer(text, np.uint8)[~removed].tobytes()
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_windows: int = 1_000_000) -> DataFrame:
+def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_windows: int = 200_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), and kept: the remaining bytes."""
     scheme = winnow.Scheme("bytes", window, gram, shard_windows)
     docs = winnow.ranked(docs)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sarweave.llm import kernels as K
-from sarweave.session import materialize
+from sarweave.session import drop_materialized, materialize, release
 
 PLACE = K.U((1 << 28) - 1)
 LAST = 2**63 - 1
@@ -37,8 +37,8 @@ class Scheme:
     unit: str
     window: int
     gram: int
-    #: Windows that one shard holds.
-    shard_windows: int = 1_000_000
+    #: Windows that one shard holds, and beyond which an anchor is settled by digests.
+    shard_windows: int
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Token values, token bounds of the texts, byte starts and byte ends of the tokens."""
@@ -172,26 +172,34 @@ def repeats(
     has open contents. in_shard: of a shard's contents (anchor, at, c1, c2, first, n, body) gives c1, c2,
     b, e. by_digest, over first and n of a content's window and least and total of all equal ones: it goes.
     """
-    rows = materialize(scan(docs, s), "segments")
+    spark = docs.sparkSession
+    every = materialize(scan(docs, s), "segments")
+    twice = every.groupBy("anchor").agg(F.sum("reps").alias("copies")).where("copies >= 2").select("anchor")
+    rows = materialize(every.join(twice, "anchor", "left_semi"), "repeated")
+    drop_materialized(every)
+    release(spark)
     least = F.min(F.struct("rank", "th", "pos"))
     contents = rows.groupBy("c1", "c2").agg(
         F.min("anchor").alias("anchor"), least.alias("owner"), F.max("rank").alias("last"), F.sum("reps").alias("n"), F.min("wins").alias("wins")
     )
     anchors = contents.groupBy("anchor").agg(
-        F.count("*").alias("contents"), F.sum("n").alias("copies"), F.sum("wins").alias("windows"), F.min("n").alias("fewest"),
+        F.count("*").alias("contents"), F.sum("wins").alias("windows"), F.min("n").alias("fewest"),
         F.min("owner.rank").alias("lowest"), F.max("last").alias("highest"), F.max("owner.rank").alias("newest"),
     )
-    live = contents.drop("wins").join(anchors.where("copies >= 2").withColumn("mixed", (F.col("contents") >= 2) & anchor_open), "anchor").select(
+    live = contents.drop("wins").join(anchors.withColumn("mixed", (F.col("contents") >= 2) & anchor_open), "anchor").select(
         "c1", "c2", "owner", "n", "mixed", "lowest", "windows"
     )
     cand = materialize(rows.join(live, ["c1", "c2"]), "candidates")
+    drop_materialized(rows)
+    release(spark)
     segs = F.collect_set(F.struct("pos", "wins", "at", "anchor", "c1", "c2", F.col("owner.rank").alias("first"), "n"))
     owners = cand.where("mixed AND rank = owner.rank AND th = owner.th AND pos = owner.pos")
     bodies = materialize(fetch(docs, owners.groupBy("rank", "th").agg(segs.alias("segs")), s), "bodies")
+    release(spark)
     sizes = owners.groupBy("anchor").agg(F.max("windows").alias("windows"))
     total, largest = sizes.agg(F.sum("windows"), F.max("windows")).first()
     marks = "c1 long, c2 long, b int, e int"
-    n_shards = max(1, -(-(total or 0) // s.shard_windows), 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_shards = max(1, -(-(total or 0) // s.shard_windows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = bodies
     if (largest or 0) > s.shard_windows:
         hot = sizes.where(F.col("windows") > s.shard_windows).select("anchor")

@@ -80,6 +80,6 @@ def test_equal_suffixes():
 def test_equal_windows_have_equal_anchors():
     r = np.random.default_rng(3)
     values = np.tile(r.integers(0, 2**63, 37).astype(np.uint64), 9)
-    s = winnow.Scheme("words", 12, 4)
+    s = winnow.Scheme("words", 12, 4, 1000)
     g = winnow.segments(values, np.array([0, 100, 100, len(values)]), s)
     assert (g["wins"] * g["reps"]).sum() == (100 - 11) + (len(values) - 100 - 11)
