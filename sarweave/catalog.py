@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from sarweave.queries import ORACLES, QUERIES, names  # noqa: F401
+from sarweave.queries import ORACLES, QUERIES, names, raster, relational  # noqa: F401
 
-FLAGSHIP = "path_parts"
+FLAGSHIP = "group_safe_splits"
