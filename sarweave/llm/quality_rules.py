@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 # Frequent short words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -50,44 +49,43 @@ RULES = (
 
 
 def _literal(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t").replace("\r", "\\r").replace("\x0b", "\\u000b").replace("\x0c", "\\u000c") + "'"
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def repeated_words(words: str) -> str:
-    """SQL: how many of words lie in three-word windows that occur twice or more.
+    """SQL: how many of words (the name of an array) lie in three-word windows that occur twice or more.
 
     The windows' hashes are sorted with their places; equal neighbours repeat. Of the sorted
     places p of repeats each adds min(3, p - the place before) words.
     """
     return (
-        f"transform(array({words}), w -> CASE WHEN size(w) < 4 THEN 0L ELSE "
-        "transform(array(sort_array(transform(slice(w, 1, size(w) - 2), (x, i) -> "
-        "named_struct('h', xxhash64(x, w[i + 1], w[i + 2]), 'i', i)))), s -> "
+        f"CASE WHEN size({words}) < 4 THEN 0L ELSE "
+        f"transform(array(sort_array(transform(slice({words}, 1, size({words}) - 2), (x, i) -> "
+        f"named_struct('h', xxhash64(x, {words}[i + 1], {words}[i + 2]), 'i', i)))), s -> "
         "transform(array(sort_array(transform(filter(s, (x, i) -> x.h = get(s, i - 1).h OR x.h = get(s, i + 1).h), x -> x.i))), p -> "
         "aggregate(transform(p, (x, i) -> IF(i = 0, 3L, least(3L, CAST(x - p[i - 1] AS BIGINT)))), 0L, (a, x) -> a + x)"
-        ")[0])[0] END)[0]"
+        ")[0])[0] END"
     )
 
 
-def measures(text: str = "text") -> dict[str, str]:
-    """SQL of the counts, by name."""
+def measures(text: str = "text") -> list[str]:
+    """SQL of structs that hold the counts. An array that several counts need is bound once, as the one item of an array."""
     t = f"coalesce({text}, '')"
-    gone = lambda of, chars: f"CAST(length({of}) - length(translate({of}, {_literal(chars)}, '')) AS BIGINT)"
-    words = f"regexp_extract_all({t}, {_literal(WORD)}, 0)"
-    lines = f"filter(split({t}, '\\n'), l -> translate(l, {_literal(SPACES)}, '') != '')"
+    gone = lambda pattern: f"CAST(length({t}) - length(regexp_replace({t}, '{pattern}', '')) AS BIGINT)"
     stops = ", ".join(_literal(w) for w in sorted({w for ws in STOP_WORDS for w in ws.split()}))
-    return {
-        "n_words": f"CAST(size({words}) AS BIGINT)",
-        "word_chars": f"CAST(length(translate({t}, {_literal(SPACES)}, '')) AS BIGINT)",
-        "n_symbols": gone(t, SYMBOLS),
-        "n_dup_lines": f"transform(array({lines}), l -> CAST(size(l) - size(array_distinct(l)) AS BIGINT))[0]",
-        "n_repeat_words": repeated_words(words),
-        "n_lines": f"CAST(size({lines}) AS BIGINT)",
-        "n_exclamations": gone(t, "!"),
-        "n_stop_words": f"CAST(size(filter(split(lower({t}), '[^\\\\p{{L}}]+'), w -> w IN ({stops}))) AS BIGINT)",
-        "n_upper": f"CAST(length({t}) - length(regexp_replace({t}, '\\\\p{{Lu}}+', '')) AS BIGINT)",
-        "n_letters": f"CAST(length({t}) - length(regexp_replace({t}, '\\\\p{{L}}+', '')) AS BIGINT)",
-    }
+    of_words = (
+        f"transform(array(regexp_extract_all({t}, {_literal(WORD)}, 0)), w -> named_struct('n_words', CAST(size(w) AS BIGINT), "
+        f"'word_chars', CAST(length(array_join(w, '')) AS BIGINT), 'n_repeat_words', {repeated_words('w')}))[0]"
+    )
+    of_lines = (
+        f"transform(array(filter(split({t}, '\n'), l -> l RLIKE {_literal(WORD)})), l -> "
+        "named_struct('n_lines', CAST(size(l) AS BIGINT), 'n_dup_lines', CAST(size(l) - size(array_distinct(l)) AS BIGINT)))[0]"
+    )
+    of_chars = (
+        f"named_struct('n_symbols', {gone(f'[{SYMBOLS}]+')}, 'n_exclamations', {gone('!+')}, 'n_upper', {gone(chr(92) * 2 + 'p{Lu}+')}, 'n_letters', {gone(chr(92) * 2 + 'p{L}+')}, "
+        f"'n_stop_words', CAST(size(filter(split(lower({t}), '[^\\\\p{{L}}]+'), w -> w IN ({stops}))) AS BIGINT))"
+    )
+    return [of_words, of_lines, of_chars]
 
 
 def _broken(r: Rule) -> str:
@@ -97,7 +95,7 @@ def _broken(r: Rule) -> str:
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 50, most_repeated: int = 50) -> DataFrame:
     """doc_id, the counts, base_failed, kept, and the names of the rules that failed."""
-    counted = docs.select("doc_id", F.struct(*(F.expr(e).alias(n) for n, e in measures().items())).alias("m")).select("doc_id", "m.*")
+    counted = docs.select("doc_id", *(F.expr(e).alias(f"m{i}") for i, e in enumerate(measures()))).select("doc_id", "m0.*", "m1.*", "m2.*")
     failed = "filter(array(" + ", ".join(f"IF({_broken(r)}, '{r.name}', NULL)" for r in rules) + "), x -> x IS NOT NULL)"
     base = f"n_words < {min_words} OR 100 * n_repeat_words > {most_repeated} * n_words"
     return counted.select(
