@@ -67,4 +67,34 @@ SELECT d.doc_id, w.license, coalesce(f.line_licenses, '') AS line_licenses,
 FROM d LEFT JOIN w USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN x USING (doc_id)"""
 
 
-ORACLES = {"op4_quality_rules": _quality_rules(), "op5_license_scan": _licenses()}
+SUBSTRING_DEDUP = r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)),
+f AS (SELECT h, min(doc_id) AS first FROM p GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+g AS (SELECT doc_id, i FROM p JOIN f USING (h) WHERE first < doc_id),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM g, (SELECT unnest(range(50)) AS k)),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+k AS (SELECT w.doc_id, count(*) AS n_words, count(c.i) AS n_removed, string_agg(CASE WHEN c.i IS NULL THEN word END, ' ' ORDER BY w.i) AS kept FROM w LEFT JOIN c ON c.doc_id = w.doc_id AND c.i = w.i GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+SUFFIX_DEDUP = r"""WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+p AS (SELECT doc_id, i, md5(t[i:i + 199]) AS h FROM (SELECT doc_id, t, unnest(range(1, octet_length(t) - 198)) AS i FROM d)),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM p) WHERE n > 1),
+b AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g),
+m AS (SELECT doc_id, i, sum((before IS NULL OR i > before + 200)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 199 AS z FROM m GROUP BY doc_id, run),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM r GROUP BY doc_id)
+SELECT d.doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN k.a IS NULL THEN t ELSE list_reduce(list_transform(range(1, len(k.a) + 2), lambda j: t[CASE WHEN j = 1 THEN 1 ELSE k.z[j - 1] + 1 END:CASE WHEN j > len(k.a) THEN octet_length(t) ELSE k.a[j] - 1 END]), lambda x, y: x || y) END) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
+
+NEAR_DUPLICATES = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(ws[i:i + 4], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1) + 1))) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS seed FROM documents UNION SELECT e.b, r.seed FROM r JOIN e ON e.a = r.doc_id WHERE r.seed < e.b),
+c AS (SELECT doc_id, min(seed) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
+
+ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op2_suffix_dedup": SUFFIX_DEDUP, "op8_minhash": NEAR_DUPLICATES, "op4_quality_rules": _quality_rules(), "op5_license_scan": _licenses()}
