@@ -1,15 +1,25 @@
-"""Join operators: ranked fallback, cascades, both-way differences, pairing, nearest cells."""
+"""Join operators: ranked masks, cascades, both-way differences, pairing, nearest cells."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def best_match(left: DataFrame, right: DataFrame, on: list[str], key: list[str], rank: list[Column], how: str = "left") -> DataFrame:
-    """Each row of left (known by key) with the one of its matches that comes first by rank."""
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(*rank))
-    return left.join(right, on, how).withColumn("_place", first).where("_place = 1").drop("_place")
+def find_masks(images: DataFrame, masks: DataFrame, searched: Column) -> DataFrame:
+    """images (key, and others) with the mask of equal key that comes first: by place of its folder in searched, then least deep, then by path; null if none.
+
+    masks: (key, mask, mask_folder). Masks are reduced to the first of each key and folder, and of each key,
+    before they are joined, so that a key with many images and masks makes no pairs of them.
+    """
+    first = F.min(F.struct(F.size(F.split("mask", "/")).alias("depth"), "mask"))
+    by_folder = masks.groupBy("key", F.col("mask_folder").alias("_folder")).agg(first.alias("_near"))
+    anywhere = masks.groupBy("key").agg(first.alias("_any"))
+    rows = images.withColumn("_id", F.struct(*images.columns))
+    near = rows.select("_id", "key", F.posexplode(searched).alias("_place", "_folder")).join(by_folder, ["key", "_folder"])
+    near = near.groupBy("_id").agg(F.min(F.struct("_place", "_near")).alias("_n"))
+    out = rows.join(near, "_id", "left").join(anywhere, "key", "left")
+    return out.select("_id.*", F.coalesce("_n._near.mask", "_any.mask").alias("mask"))
 
 
 def cascade(left: DataFrame, steps: list[tuple[DataFrame, list[str]]], value: str) -> DataFrame:

@@ -57,8 +57,7 @@ def mask_pairing_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = paths(spark, sf_dir).select("p_partkey", "path", N.parent(p).alias("folder"), N.pairing_key(N.stem(p)).alias("key"), N.is_mask_path(p).alias("is_mask"))
     images = files.where("NOT is_mask").select("p_partkey", "folder", "key")
     masks = files.where("is_mask").select("key", F.col("path").alias("mask"), F.col("folder").alias("mask_folder"))
-    rank = [F.coalesce((F.col("folder") != F.col("mask_folder")).cast("int"), F.lit(2)), F.size(F.split("mask", "/")), F.col("mask")]
-    return joins.best_match(images, masks, ["key"], ["p_partkey"], rank).select("p_partkey", "mask")
+    return joins.find_masks(images, masks, F.array("folder")).select("p_partkey", "mask")
 
 
 @query("""SELECT l_orderkey, l_linenumber, format('{}_inst{:03d}', o_orderpriority, l_linenumber) AS feature_id, coalesce(c_mktsegment, '') AS segment, coalesce(c_name, '') AS scene_name

@@ -72,12 +72,8 @@ def scenes(probed: DataFrame, c: Config = DEFAULT) -> DataFrame:
     s = paired.withColumn("first", first).join(head, "first")
     tags = F.when((F.col("count") >= 2) & (F.size("band_files") == 1), F.concat(F.array(F.lit("VV"), F.lit("VH")), F.transform(F.filter(F.sequence(F.lit(1), F.col("count")), lambda i: i >= 3), lambda i: F.concat(F.lit("B"), i.cast("string"))))).otherwise(F.col("pol_tags"))
     s = s.withColumn("pol_tags", tags).withColumn("key", F.lower(N.without_mask_tokens(F.col("base"))))
-    rank = [
-        F.coalesce((F.col("folder") != F.col("mask_folder")).cast("int"), F.lit(2)),
-        F.coalesce(F.array_position(N.mask_search_folders(F.col("folder")), F.col("mask_folder")), F.lit(0)) == 0,
-        F.size(F.split("mask", "/")), F.col("mask"),
-    ]
-    s = joins.best_match(s, masks, ["key"], ["first"], rank)
+    found = joins.find_masks(s.select("first", "key", "folder"), masks, N.mask_search_folders(F.col("folder")))
+    s = s.join(found.select("first", "mask"), "first")
     times = s.groupBy("base").agg(F.count("*").alias("_times"))
     s = s.join(times, "base").withColumn("scene_id", N.scene_id(F.col("base"), F.col("folder"), F.col("_times")))
     return s.select(
