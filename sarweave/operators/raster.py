@@ -141,9 +141,9 @@ INSTANCE = (
 )
 
 
-def _instances(scene: int, classes: np.ndarray, min_area: int) -> list[tuple]:
+def shapes(classes: np.ndarray, min_area: int):
+    """For each component that is large enough: its class, its number and the label grid, and its shape. By class, then by first pixel."""
     h, w = classes.shape
-    out = []
     for value in sorted({int(v) for v in np.unique(classes)} - {0}):
         label, n = kernels.components(classes == value)
         area = np.bincount(label.ravel(), minlength=n + 1)
@@ -155,11 +155,13 @@ def _instances(scene: int, classes: np.ndarray, min_area: int) -> list[tuple]:
             points = kernels.contour(label[y : y2 + 1, x : x2 + 1] == k)
             length = kernels.perimeter(points)
             axes = (kernels.ellipse_axes(points) if len(points) >= 5 else None) or kernels.box_axes(points)
-            aspect = axes[0] / axes[1] if axes[1] > 1e-6 else 1.0
             middle = kernels.polygon_centroid(points)
             cx, cy = (int(middle[0]) + x, int(middle[1]) + y) if middle else (x + (x2 - x + 1) // 2, y + (y2 - y + 1) // 2)
-            out.append((scene, value, len(out), int(area[k]), x, y, x2 - x + 1, y2 - y + 1, int(ys[0]), int(xs[0]), bool(x == 0 or y == 0 or x2 == w - 1 or y2 == h - 1), cx, cy, length, length * length / int(area[k]), aspect))
-    return out
+            yield value, int(k), label, {
+                "area": int(area[k]), "x": x, "y": y, "w": x2 - x + 1, "h": y2 - y + 1, "first_y": int(ys[0]), "first_x": int(xs[0]),
+                "truncated": bool(x == 0 or y == 0 or x2 == w - 1 or y2 == h - 1), "cx": cx, "cy": cy,
+                "perimeter": length, "complexity": length * length / int(area[k]), "aspect": axes[0] / axes[1] if axes[1] > 1e-6 else 1.0,
+            }
 
 
 def instances(classes: DataFrame, min_area: int = 20) -> DataFrame:
@@ -171,7 +173,7 @@ def instances(classes: DataFrame, min_area: int = 20) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         order = np.argsort(t["y"].to_numpy())
         grid = np.array([t["v"][int(i)].as_py() for i in order], dtype=np.int32)
-        rows = _instances(t["scene"][0].as_py(), grid, min_area)
+        rows = [(t["scene"][0].as_py(), v, i, *s.values()) for i, (v, _, _, s) in enumerate(shapes(grid, min_area))]
         kinds = [pa.int32()] * 10 + [pa.bool_(), pa.int32(), pa.int32()] + [pa.float64()] * 3
         names = [f.split()[0] for f in INSTANCE.split(", ")]
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
