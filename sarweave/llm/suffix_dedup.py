@@ -27,15 +27,20 @@ GRAM = 24
 SHALLOW = 32
 
 
-def multikey_groups(text: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Groups of two or more of starts whose suffixes agree in depth bytes, in suffix order.
-
-    One level takes eight bytes as a character and splits all groups that are still tied.
-    """
+def characters(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as one character."""
     n = max(0, len(text) - 7)
     chars = np.zeros(n, dtype=np.uint64)
     for j in range(8):
         chars = (chars << K.U(8)) | text[j : j + n]
+    return chars
+
+
+def multikey_groups(chars: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of starts whose suffixes agree in depth bytes with another one, in suffix order, and where their groups begin.
+
+    One level takes one character and splits all groups that are still tied.
+    """
     order, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
     for d in range(0, depth, 8):
         c = chars[starts[order] + d]
@@ -47,8 +52,7 @@ def multikey_groups(text: np.ndarray, starts: np.ndarray, depth: int) -> list[np
         tied = ~new
         tied[:-1] |= ~new[1:]
         order, group = order[tied], group[tied]
-    cuts = np.flatnonzero(np.diff(group)) + 1
-    return np.split(order, cuts) if len(order) else []
+    return order, np.flatnonzero(np.diff(group, prepend=-1))
 
 
 class BlindTrie:
@@ -103,11 +107,26 @@ class BlindTrie:
 
 
 def equal_suffixes(text: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> np.ndarray:
-    """For each of starts whether another one begins the same length bytes."""
-    out = np.zeros(len(text), dtype=bool)
-    for group in multikey_groups(np.frombuffer(text, np.uint8), starts, min(shallow, length // 8 * 8)):
-        trie = BlindTrie(text, min(shallow, length // 8 * 8), length)
-        for s in starts[group].tolist():
+    """For each of starts whether another one begins the same length bytes.
+
+    A trie of two suffixes is one comparison; those of all groups of two are made together.
+    """
+    depth = min(shallow, length // 8 * 8)
+    chars = characters(np.frombuffer(text, np.uint8))
+    order, begin = multikey_groups(chars, starts, depth)
+    at = starts[order]
+    size = np.diff(np.append(begin, len(order)))
+    out = np.zeros(len(text) + 1, dtype=bool)
+    first = begin[size == 2]
+    a, b = at[first], at[first + 1]
+    for d in [*range(depth, length - 7, 8), length - 8]:
+        same = chars[a + d] == chars[b + d]
+        a, b = a[same], b[same]
+    out[a] = out[b] = True
+    more = size > 2
+    for lo, n in zip(begin[more].tolist(), size[more].tolist(), strict=True):
+        trie = BlindTrie(text, depth, length)
+        for s in at[lo : lo + n].tolist():
             trie.insert(s)
         for leaf in trie.leaves():
             if len(leaf) > 1:
