@@ -8,7 +8,7 @@ block, so that tables of all block values so near to an item's give every item w
 Candidates within it are verified by the weighted shingle similarity, the sum of
 least counts over the sum of greatest, of the window and the item.
 
-A pair at the threshold is beyond the radius with a chance below one in a thousand per window.
+A pair at the threshold is beyond the radius with a chance near one in a million per window.
 Items of fewer than five words are one shingle of their length and match exactly. A
 text shorter than an item is one window. Items without words match nothing; neither do null and
 empty texts. Rows are judged one by one, repeated ones alike, and keep all their columns; a column named leaks is
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from sarweave.llm import kernels as K
 
 SHINGLE = 5
-RADIUS = 19
+RADIUS = 23
 SIMILARITY = 0.8
 #: Items of one length that share tables, and such groups in a block (2 MB of tables each).
 GROUP_ITEMS = 64
