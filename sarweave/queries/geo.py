@@ -148,14 +148,15 @@ def mock_wind_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", seed.alias("seed"), F.round(speed, 6).alias("speed"))
 
 
-@query("""WITH g AS (SELECT vec_id % 50 AS gy, unnest(range(64)) AS gx, vec_id // 50 AS scene, unnest(embedding)::DOUBLE AS v FROM embeddings),
+@query("""WITH g0 AS (SELECT vec_id % 50 AS gy, unnest(range(64)) AS gx, vec_id // 50 % 2 AS part, unnest(embedding)::DOUBLE AS v FROM embeddings),
+g AS (SELECT part, gy, gx, avg(v) AS v FROM g0 GROUP BY ALL),
 p AS (SELECT c_custkey, (c_custkey % 490) / 10.0 AS y, (c_custkey % 630) / 10.0 AS x FROM customer),
 n AS (SELECT c_custkey, round_even(y, 0)::BIGINT AS gy, round_even(x, 0)::BIGINT AS gx FROM p)
-SELECT c_custkey, round(sqrt(u.v * u.v + w.v * w.v), 6) AS speed FROM n JOIN g u ON u.scene = 0 AND u.gy = n.gy AND u.gx = n.gx JOIN g w ON w.scene = 1 AND w.gy = n.gy AND w.gx = n.gx""")
+SELECT c_custkey, round(sqrt(u.v * u.v + w.v * w.v), 6) AS speed FROM n JOIN g u ON u.part = 0 AND u.gy = n.gy AND u.gx = n.gx JOIN g w ON w.part = 1 AND w.gy = n.gy AND w.gx = n.gx""")
 def nearest_grid_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wind speed at the nearest grid point, from two component grids."""
-    e = table(spark, sf_dir, "embeddings").where("vec_id < 100").select(F.floor(F.col("vec_id") / 50).alias("s"), (F.col("vec_id") % 50).alias("gy"), F.posexplode("embedding").alias("gx", "v"))
-    grid = e.groupBy("gy", "gx").agg(*(F.max(F.when(F.col("s") == i, F.col("v").cast("double"))).alias(n) for i, n in enumerate("uw")))
+    e = table(spark, sf_dir, "embeddings").select((F.floor(F.col("vec_id") / 50) % 2).alias("s"), (F.col("vec_id") % 50).alias("gy"), F.posexplode("embedding").alias("gx", "v"))
+    grid = e.groupBy("gy", "gx").agg(*(F.avg(F.when(F.col("s") == i, F.col("v").cast("double"))).alias(n) for i, n in enumerate("uw")))
     k = F.col("c_custkey")
     p = table(spark, sf_dir, "customer").select("c_custkey", F.bround((k % 490) / 10.0, 0).cast("bigint").alias("gy"), F.bround((k % 630) / 10.0, 0).cast("int").alias("gx"))
     return p.join(grid, ["gy", "gx"]).select("c_custkey", F.round(F.sqrt(F.col("u") ** 2 + F.col("w") ** 2), 6).alias("speed"))

@@ -73,27 +73,27 @@ def left_lookup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey, coalesce(a.s_name, b.s_name, c.s_name) AS value, CASE WHEN a.s_name IS NOT NULL THEN 1 WHEN b.s_name IS NOT NULL THEN 2 WHEN c.s_name IS NOT NULL THEN 3 END AS step FROM part
-LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 2 = 0) a ON a.s_suppkey = p_partkey
-LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 = 0) b ON b.s_suppkey = p_partkey // 10
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 5000) a ON a.s_suppkey = p_partkey
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) b ON b.s_suppkey = p_partkey // 10
 LEFT JOIN (SELECT s_nationkey, min(s_name) AS s_name FROM supplier GROUP BY s_nationkey) c ON c.s_nationkey = p_size""")
 def cascade_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A value by the first of three keys that finds it."""
     s = table(spark, sf_dir, "supplier").withColumnRenamed("s_name", "value")
     left = table(spark, sf_dir, "part").select("p_partkey", F.col("p_partkey").alias("a"), F.floor(F.col("p_partkey") / 10).alias("b"), F.col("p_size").alias("c"))
     steps = [
-        (s.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("a"), "value"), ["a"]),
-        (s.where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("b"), "value"), ["b"]),
+        (s.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("a"), "value"), ["a"]),
+        (s.where("s_acctbal > 0").select(F.col("s_suppkey").alias("b"), "value"), ["b"]),
         (s.groupBy(F.col("s_nationkey").alias("c")).agg(F.min("value").alias("value")), ["c"]),
     ]
     return joins.cascade(left, steps, "value").select("p_partkey", "value", "step")
 
 
 @query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'metadata' ELSE 'files' END AS only_in
-FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 5 != 0) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL OR l.doc_id IS NULL""")
+FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT 2 * doc_id AS doc_id FROM labels) l ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL OR l.doc_id IS NULL""")
 def anti_join_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids that only the files or only the metadata have."""
-    docs = table(spark, sf_dir, "documents").where("doc_id % 5 != 0")
-    return joins.missing_both_ways(docs, table(spark, sf_dir, "labels"), ["doc_id"], ("files", "metadata"))
+    labels = table(spark, sf_dir, "labels").select((2 * F.col("doc_id")).alias("doc_id"))
+    return joins.missing_both_ways(table(spark, sf_dir, "documents"), labels, ["doc_id"], ("files", "metadata"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -104,7 +104,7 @@ def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH p AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, (user_id % 20) * 0.37::DOUBLE AS lat, (event_id % 31) * 0.41::DOUBLE AS lon FROM events),
-g AS (SELECT strftime(ts, '%Y-%m-%d') AS day, (user_id % 40) * 0.25::DOUBLE AS glat, (event_id % 53) * 0.25::DOUBLE AS glon, max(value) AS u, min(value) AS v FROM events WHERE event_id % 3 = 0 GROUP BY ALL),
+g AS (SELECT strftime(ts, '%Y-%m-%d') AS day, (user_id % 40) * 0.25::DOUBLE AS glat, (event_id % 53) * 0.25::DOUBLE AS glon, max(value) AS u, min(value) AS v FROM events GROUP BY ALL),
 j AS (SELECT p.*, u, v, row_number() OVER (PARTITION BY event_id ORDER BY abs(lat - glat) + abs(lon - glon), glat, glon) AS n
   FROM p LEFT JOIN g ON p.day = g.day AND round_even(lat, 0) = round_even(glat, 0) AND round_even(lon, 0) = round_even(glon, 0))
 SELECT event_id, day, round(sqrt(u * u + v * v), 6) AS wind_speed, CASE WHEN u IS NULL THEN '' ELSE 'era5' END AS wind_source FROM j WHERE n = 1""")
@@ -113,7 +113,7 @@ def weather_cell_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     day = F.date_format("ts", S.DAY).alias("day")
     points = e.select("event_id", day, ((F.col("user_id") % 20) * F.lit(0.37)).alias("lat"), ((F.col("event_id") % 31) * F.lit(0.41)).alias("lon"))
-    grid = e.where("event_id % 3 = 0").groupBy(day, ((F.col("user_id") % 40) * F.lit(0.25)).alias("glat"), ((F.col("event_id") % 53) * F.lit(0.25)).alias("glon")).agg(F.max("value").alias("u"), F.min("value").alias("v"))
+    grid = e.groupBy(day, ((F.col("user_id") % 40) * F.lit(0.25)).alias("glat"), ((F.col("event_id") % 53) * F.lit(0.25)).alias("glon")).agg(F.max("value").alias("u"), F.min("value").alias("v"))
     out = joins.nearest_cell(points, grid, ["u", "v"])
     return out.select("event_id", "day", F.round(F.sqrt(F.col("u") ** 2 + F.col("v") ** 2), 6).alias("wind_speed"), F.when(F.col("u").isNull(), "").otherwise("era5").alias("wind_source"))
 
@@ -150,13 +150,12 @@ def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.leaks(m, "scene")
 
 
-@query("""WITH m AS (SELECT DISTINCT o_custkey AS scene, ['train', 'val', 'test'][o_orderkey % 50 % 3 + 1] AS split FROM orders WHERE o_orderkey % 50 < 3)
+@query("""WITH m AS (SELECT DISTINCT o_custkey AS scene, ['train', 'val', 'test'][o_orderkey % 3 + 1] AS split FROM orders)
 SELECT a.scene, a.split, b.split AS other FROM m a JOIN m b ON a.scene = b.scene AND a.split < b.split""")
 def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that two splits share."""
-    m = crops(spark, sf_dir).where("image_id % 50 < 3")
     names = F.array(F.lit("train"), F.lit("val"), F.lit("test"))
-    return splits.overlaps(m.withColumn("split", F.element_at(names, (F.col("image_id") % 50 % 3 + 1).cast("int"))), "scene")
+    return splits.overlaps(crops(spark, sf_dir).withColumn("split", F.element_at(names, (F.col("image_id") % 3 + 1).cast("int"))), "scene")
 
 
 @query("""SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag != 'N' AND l_linestatus != 'O' AND l_linenumber % 4 IN (0, 1)""")
@@ -240,30 +239,31 @@ def risk_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.per_bucket(crops(spark, sf_dir).select("image_id", "label"), "label", "image_id", 10, 7)
 
 
-@query("""WITH p AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey + l_linenumber) % 11 != 0),
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag != 'R'),
 g AS (SELECT l_orderkey, min(l_linenumber) AS first, max(l_linenumber) AS last, count(DISTINCT l_linenumber)::INT AS parts, list_distinct(list(l_linenumber)) AS have FROM p GROUP BY l_orderkey)
 SELECT l_orderkey, first, last, parts, len(list_filter(range(1, last + 1), lambda x: NOT list_contains(have, x)))::INT AS lacking, array_to_string(list_filter(range(1, last + 1), lambda x: NOT list_contains(have, x)), ',') AS gaps FROM g""")
 def part_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive parts that lack between 1 and the last."""
-    li = table(spark, sf_dir, "lineitem").where("(l_orderkey + l_linenumber) % 11 != 0")
+    li = table(spark, sf_dir, "lineitem").where("l_returnflag != 'R'")
     return aggregates.contiguous(li, "l_orderkey", "l_linenumber")
 
 
-@query("""SELECT o_orderkey, o_orderstatus, '' AS note FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, '', o_orderpriority FROM orders WHERE o_orderkey % 3 = 1""")
+@query("""SELECT o_orderkey, o_orderstatus, '' AS note FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT o_orderkey, '', o_orderpriority FROM orders WHERE o_orderstatus != 'O'""")
 def schema_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old and new rows in one table; columns that one side lacks are blank."""
     o = table(spark, sf_dir, "orders")
-    old = o.where("o_orderkey % 3 = 0").select("o_orderkey", "o_orderstatus")
-    new = o.where("o_orderkey % 3 = 1").select("o_orderkey", F.col("o_orderpriority").alias("note"))
+    old = o.where("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus")
+    new = o.where("o_orderstatus != 'O'").select("o_orderkey", F.col("o_orderpriority").alias("note"))
     return old.unionByName(new, allowMissingColumns=True).na.fill("")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN 'kept' ELSE 'new' END AS origin FROM orders")
+@query("SELECT o_orderkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'kept' ELSE 'new' END AS origin FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
 def resume_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of finished folders, and new rows of the folders that are not finished."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    done = o.where("o_custkey % 4 = 0").withColumn("origin", F.lit("kept"))
-    fresh = o.join(done.select("o_custkey").distinct(), "o_custkey", "left_anti").withColumn("origin", F.lit("new"))
+    finished = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    done = o.join(finished, "o_custkey", "left_semi").withColumn("origin", F.lit("kept"))
+    fresh = o.join(finished, "o_custkey", "left_anti").withColumn("origin", F.lit("new"))
     return done.unionByName(fresh).select("o_orderkey", "origin")
 
 

@@ -39,13 +39,27 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/sarweave-{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables that materialize() made for this application; results that still read them are lost."""
+    _delete(spark, _scratch(spark))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet below the shared folder and read it back.
 
     It cuts lineage as checkpoint() does, computes the rows once, and survives lost executors.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -53,10 +67,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def drop_materialized(df: DataFrame) -> None:
     """Remove the files of a table that materialize() made and that nothing reads any more."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for f in df.inputFiles()[:1]:
-        p = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(spark, f.rsplit("/", 1)[0])
 
 
 def release(spark: SparkSession) -> None:
