@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from sarweave.queries import ORACLES, QUERIES, geo, names, qa, raster, relational  # noqa: F401
+from sarweave.queries import ORACLES, QUERIES, composite, geo, names, qa, raster, relational  # noqa: F401
 
 FLAGSHIP = "group_safe_splits"

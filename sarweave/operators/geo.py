@@ -141,3 +141,33 @@ def drift_pairs(spark: SparkSession, n: int, hours: float = 24.0, minutes: int =
             yield pd.DataFrame(out, columns=["pair", "release_type", "initial_shape", "resulting_shape", "elapsed_hours", "backend"])
 
     return spark.range(n).mapInPandas(run, DRIFT)
+
+
+def convex_hulls(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
+    """Per group the corners of its hull (group, corners) and its area.
+
+    Each task first reduces its own points to hulls, so that a group of any size meets as few corners.
+    """
+    kind = points.schema[group].dataType.simpleString()
+
+    def corners(p: pd.DataFrame) -> np.ndarray:
+        return kernels.hull(p[["x", "y"]].to_numpy(dtype=float))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for b in batches:
+            for g, p in b.groupby("g"):
+                both = np.concatenate((held[g], p[["x", "y"]].to_numpy(dtype=float))) if g in held else p[["x", "y"]].to_numpy(dtype=float)
+                held[g] = kernels.hull(both)
+        for g, p in held.items():
+            yield pd.DataFrame({"g": g, "x": p[:, 0], "y": p[:, 1]})
+
+    def whole(p: pd.DataFrame) -> pd.DataFrame:
+        c = corners(p)
+        u, v = c.T
+        area = abs(float((u * np.roll(v, -1) - np.roll(u, -1) * v).sum())) / 2
+        return pd.DataFrame({"g": [p["g"].iloc[0]], "corners": [c.tolist()], "area": [area]})
+
+    some = points.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("g IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+    few = some.mapInPandas(partial, f"g {kind}, x double, y double")
+    return few.groupBy("g").applyInPandas(whole, f"g {kind}, corners array<array<double>>, area double").withColumnRenamed("g", group)
