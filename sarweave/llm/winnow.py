@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from sarweave.llm import kernels as K
 from sarweave.session import drop_materialized, materialize, release
 
-PLACE = K.U((1 << 28) - 1)
+#: Bits of a place in a batch; a text holds fewer bytes than that.
+PLACE = K.U((1 << 31) - 1)
 LAST = 2**63 - 1
 
 
