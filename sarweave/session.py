@@ -39,6 +39,16 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in Arrow batches of few rows, so that two copies of a batch stay small on both sides.
+
+    A number of rows that the session sets itself is left as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/sarweave-{spark.sparkContext.applicationId}"
 
