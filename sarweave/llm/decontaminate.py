@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sarweave.llm import kernels as K
+from sarweave.session import text_batches
 
 SHINGLE = 5
 RADIUS = 23
@@ -185,6 +186,7 @@ def blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[Block]:
 
 def flag_leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """docs with a column leaks: for each item found its best window as (item_id, start_word, n_words, similarity)."""
+    text_batches(docs.sparkSession)
     docs = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAK))
     for block in blocks(benchmark, radius):
         handle = docs.sparkSession.sparkContext.broadcast(block)

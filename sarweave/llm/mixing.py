@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from sarweave.llm import kernels as K
 from sarweave.llm.quality_crf import N_OWN, line_features
-from sarweave.session import materialize
+from sarweave.session import materialize, text_batches
 
 DOMAINS = ("clean", "toxic", "junk")
 #: Wanted shares of the tokens.
@@ -115,6 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
 def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """docs with tokens and posterior, an array in the order of DOMAINS."""
+    text_batches(docs.sparkSession)
     docs = docs.drop("tokens", "posterior")
     handle = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))])

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sarweave.session import text_batches
+
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE = KINDS[:4]
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -128,6 +130,7 @@ def scan_pii(docs: DataFrame) -> DataFrame:
             spans = [[{"kind": k, "start": s, "end": e, "score": x} for k, s, e, x in find_pii(t.as_py())] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], names=["doc_id", "pii"])
 
+    text_batches(docs.sparkSession)
     at = docs.select("doc_id", "text")
     return at.mapInArrow(scan, T.StructType([at.schema["doc_id"], T.StructField("pii", SPAN)]))
 

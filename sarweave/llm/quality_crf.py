@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sarweave.llm import kernels as K
+from sarweave.session import text_batches
 
 #: Labelled documents to train on, at most.
 SAMPLE = 2000
@@ -186,6 +187,7 @@ def text_scores(data: np.ndarray, offsets: np.ndarray, w: np.ndarray, trans: np.
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score") -> DataFrame:
     """docs with a column of scores; one of that name is replaced."""
+    text_batches(docs.sparkSession)
     w, trans = model
     docs = docs.drop(name)
 

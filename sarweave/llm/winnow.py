@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sarweave.llm import kernels as K
-from sarweave.session import drop_materialized, materialize, release
+from sarweave.session import drop_materialized, materialize, release, text_batches
 
 #: Bits of a place in a batch; a text holds fewer bytes than that.
 PLACE = K.U((1 << 31) - 1)
@@ -84,6 +84,7 @@ def segments(values: np.ndarray, bounds: np.ndarray, s: Scheme) -> dict[str, np.
 
 def ranked(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the key of a row: rank and th."""
+    text_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64(text).alias("th"))
 
