@@ -70,7 +70,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
