@@ -109,7 +109,8 @@ class BlindTrie:
 def equal_suffixes(text: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> np.ndarray:
     """For each of starts whether another one begins the same length bytes.
 
-    A trie of two suffixes is one comparison; those of all groups of two are made together.
+    The first suffix of a tied group is the first leaf of its trie; those equal to it are found for all
+    groups at once. A trie is built where two others or more are left.
     """
     depth = min(shallow, length // 8 * 8)
     chars = characters(np.frombuffer(text, np.uint8))
@@ -117,16 +118,20 @@ def equal_suffixes(text: bytes, starts: np.ndarray, length: int, shallow: int =
     at = starts[order]
     size = np.diff(np.append(begin, len(order)))
     out = np.zeros(len(text) + 1, dtype=bool)
-    first = begin[size == 2]
-    a, b = at[first], at[first + 1]
+    first = np.repeat(begin, size)
+    same = np.flatnonzero(np.arange(len(at)) != first)
+    left = np.zeros(len(at), dtype=bool)
+    left[same] = True
     for d in [*range(depth, length - 7, 8), length - 8]:
-        same = chars[a + d] == chars[b + d]
-        a, b = a[same], b[same]
-    out[a] = out[b] = True
-    more = size > 2
-    for lo, n in zip(begin[more].tolist(), size[more].tolist(), strict=True):
+        same = same[chars[at[same] + d] == chars[at[first[same]] + d]]
+    left[same] = False
+    out[at[same]] = out[at[first[same]]] = True
+    others = np.flatnonzero(left)
+    cuts = np.flatnonzero(np.diff(first[others], prepend=-1))
+    counts = np.diff(np.append(cuts, len(others)))
+    for lo, n in zip(cuts[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True):
         trie = BlindTrie(text, depth, length)
-        for s in at[lo : lo + n].tolist():
+        for s in at[others[lo : lo + n]].tolist():
             trie.insert(s)
         for leaf in trie.leaves():
             if len(leaf) > 1:
