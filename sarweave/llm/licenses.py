@@ -2,7 +2,9 @@
 
 A text and its paragraph-free lines are normalised (case, punctuation, copyright lines and
 equivalent spellings), digested with SHA-256 and joined by equality with the digests of known
-licence texts. The known table has a fixed size, that of KNOWN, and is broadcast.
+licence texts. The known table has a fixed size, that of KNOWN, and is broadcast. Whole licences are read
+from license_texts/, each with its title, with other usual titles and without one, with and without
+its appendix; a text with other words than these, such as an own name in a BSD clause, is not known.
 
 A null or empty text, or one that normalises to nothing, has no licence. A text that equals
 several known ones lists all, in order. Repeated rows are judged alike. Columns of the input
@@ -11,6 +13,10 @@ other than doc_id and text are not carried.
 
 from __future__ import annotations
 
+import re
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +55,76 @@ Permission is granted to anyone to use this software for any purpose, including
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "Released under CC BY 4.0."),
 }
+TEXTS = Path(__file__).parent / "license_texts"
+# By SPDX identifier, where the body begins after the title, and titles under which it is published besides
+# its own. A file of TEXTS is named by the identifier, and what comes after it tells several published forms apart.
+BODIES = {
+    "0BSD": ("Permission to use", ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD-0-Clause")),
+    "Apache-2.0": ("TERMS AND CONDITIONS", ("Apache License\nVersion 2.0, January 2004", "Apache License 2.0")),
+    "Artistic-1.0-Perl": ("Preamble", ("The Artistic License",)),
+    "BSD-2-Clause": ("Redistribution and use", ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "BSD License", "The BSD License", "Simplified BSD License")),
+    "BSD-3-Clause": ("Redistribution and use", ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "BSD License", "The BSD License", "New BSD License", "Modified BSD License")),
+    "BSL-1.0": ("Permission is hereby", ("Boost Software License 1.0", "Boost Software License", "The Boost Software License 1.0")),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0", ("Creative Commons Attribution 4.0 International",)),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0", ("Creative Commons Attribution-ShareAlike 4.0 International",)),
+    "CC0-1.0": ("Statement of Purpose", ("CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal")),
+    "GFDL-1.2-only": ("0. PREAMBLE", ("GNU Free Documentation License",)),
+    "GFDL-1.3-only": ("0. PREAMBLE", ("GNU Free Documentation License",)),
+    "GPL-1.0-only": ("Preamble", ("GNU GENERAL PUBLIC LICENSE\nVersion 1, February 1989",)),
+    "GPL-2.0-only": ("Preamble", ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991",)),
+    "GPL-3.0-only": ("Preamble", ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007",)),
+    "ISC": ("Permission to use", ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC")),
+    "LGPL-2.0-only": ("Preamble", ("GNU LIBRARY GENERAL PUBLIC LICENSE\nVersion 2, June 1991",)),
+    "LGPL-2.1-only": ("Preamble", ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999",)),
+    "LGPL-3.0-only": ("This version of the GNU Lesser", ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007",)),
+    "MIT": ("Permission is hereby", ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License")),
+    "MPL-1.1": ("1. Definitions", ("Mozilla Public License Version 1.1",)),
+    "MPL-2.0": ("1. Definitions", ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0")),
+    "OFL-1.1": ("PREAMBLE", ("SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007",)),
+    "Unlicense": ("This is free and unencumbered", ("The Unlicense", "Unlicense")),
+    "Zlib": ("This software is provided", ("zlib License", "The zlib License", "The zlib/libpng License", "zlib/libpng License")),
+}
+# By SPDX identifier, wordings and their published alternatives, each of which may or may not be taken.
+WORDINGS = {
+    "Apache-2.0": ((r"http://www", "https://www"), (r"(?m)^ *Copyright \[yyyy\].*$", "")),
+    "BSD-2-Clause": ((r"COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"), (r"(?m)^ *[12]\.", "*")),
+    "BSD-3-Clause": ((r"COPYRIGHT OWNER OR|COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"), (r"COPYRIGHT HOLDER OR|COPYRIGHT OWNER OR", "COPYRIGHT HOLDER OR"), (r"(?m)^ *[123]\.", "*"), (r"the copyright holder\b", "the copyright holders")),
+    "GPL-3.0-only": ((r"https://", "http://"), (r"http(s?)://www\.gnu\.org/philosophy", r"http\1://www.gnu.org/licenses")),
+    "ISC": ((r"and/or distribute", "and distribute"),),
+    "LGPL-3.0-only": ((r"https://", "http://"),),
+    "MIT": ((r"this permission notice shall", "this permission notice (including the next paragraph) shall"),),
+    "MPL-2.0": ((r"https://", "http://"), (r"http://", "https://")),
+    "Unlicense": ((r"http://", "https://"),),
+}
+#: What ends the terms; an appendix after it is not always published with them.
+END = r"END OF TERMS AND CONDITIONS|(?m:^[= \n]*Creative Commons is not a party to its\b)"
+
+
+def whole_texts() -> dict[str, list[str]]:
+    """The published forms of whole licences by SPDX identifier."""
+    out: dict[str, list[str]] = {}
+    for name, (begin, titles) in BODIES.items():
+        # A notice is never a body: those of KNOWN with several lines are.
+        plain = [p.read_text(encoding="utf-8") for p in sorted(TEXTS.glob(f"{name}.*txt"))] + [t for t in KNOWN.get(name, ()) if "\n" in t]
+        forms = dict.fromkeys(plain)
+        for pattern, other in WORDINGS.get(name, ()):
+            forms |= dict.fromkeys(re.sub(pattern, other, t) for t in list(forms))
+        for text in list(forms):
+            if m := re.search(END, text):
+                forms |= dict.fromkeys((text[: m.start()], text[: m.end()] if m[0].startswith("END") else text[: m.start()]))
+        whole = dict.fromkeys(forms)
+        for text, title, rights in product(forms, ("", *titles), ("", "All rights reserved.\n")):
+            if not rights or name in SHORT:
+                whole[f"{title}\n{rights}{text[text.index(begin) :]}"] = None
+        # Texts that are the same but for spaces and signs are one.
+        out[name] = list({re.sub(r"\W+", " ", re.sub(COPYRIGHT_LINE, " ", t)).strip().lower(): t for t in whole}.values())
+    return out
+
+
+#: Short licences, under whose copyright line all rights are often said to be reserved.
+SHORT = ("0BSD", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Zlib")
 #: Licences that let the text be used for training without further terms.
-PERMISSIVE = ("MIT", "ISC", "Zlib", "Apache-2.0", "CC-BY-4.0")
+PERMISSIVE = ("MIT", "ISC", "Zlib", "Apache-2.0", "CC-BY-4.0", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "Unlicense")
 #: Lines without any of these are no licence.
 MARKS = "licen[sc]e|permission|software|warrant"
 # Spellings that count as one.
@@ -60,6 +134,8 @@ SPELLINGS = (
     ("sub license", "sublicense"), ("noninfringment", "noninfringement"), ("acknowledgement", "acknowledgment"),
 )
 COPYRIGHT_LINE = r"(?im)^[ \t]*(?:(?:copyright[ \t]*)?(?:\(c\)|©)|copyright[ \t]+[0-9])[^\n]*$"
+for _name, _texts in whole_texts().items():
+    KNOWN[_name] = (*KNOWN.get(_name, ()), *_texts)
 
 
 def normalised(text: Column) -> Column:
@@ -83,10 +159,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     permissive is null where no licence is found.
     """
-    known = known_digests(docs.sparkSession)
-    by_digest = F.broadcast(known.groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("license")))
-    entries = [F.lit(x) for r in by_digest.collect() for x in (r.digest, r.license)]
-    by_line = F.create_map(*entries)
+    spark = docs.sparkSession
+    known = known_digests(spark).groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("license")).collect()
+    by_digest = F.broadcast(spark.createDataFrame(known, "digest string, license string"))
+    by_line = F.create_map(*(F.lit(x) for r in known for x in (r.digest, r.license)))
     text = F.coalesce("text", F.lit(""))
     # A known text has one of these words, so that other lines need no digest.
     lines = F.filter(F.split(text, "\n"), lambda x: F.lower(x).rlike(MARKS))

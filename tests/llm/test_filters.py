@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 
@@ -68,6 +69,22 @@ def test_licenses(spark):
     assert {g[1] for g in got if g[0] in (0, 1)} == {"MIT"} and licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_whole_licenses_as_published(spark):
+    own = {p.name.split(".txt")[0]: p.read_text() for p in (pathlib.Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    want = [(t, name.removesuffix(".spdx").removesuffix(".regents")) for name, t in own.items()]
+    mine, bsd = licenses.KNOWN["MIT"][2], own["BSD-3-Clause"]
+    bsd = bsd[bsd.index("Redistribution") :]
+    want += [(f"{title}\n\nCopyright (c) 2019 Some One\n{rights}\n{mine}\n", "MIT") for title in ("MIT License", "The MIT License (MIT)") for rights in ("", "All rights reserved.\n")]
+    want += [(f"ISC License\n\nCopyright 2020, A B\n\n{licenses.KNOWN['ISC'][0]}", "ISC"), (f"zlib License\n\n(C) 1999 A B\n\n{licenses.KNOWN['Zlib'][0]}", "Zlib")]
+    want += [(f"BSD 3-Clause License\n\nCopyright (c) 2001, A\nAll rights reserved.\n\n{bsd}", "BSD-3-Clause"), ("Copyright (c) 2001 A\n\n" + re.sub(r"(?m)^[123]\.", "  *", bsd), "BSD-3-Clause")]
+    want += [(own["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 A B"), "Apache-2.0"), (own["Apache-2.0"].split("APPENDIX")[0], "Apache-2.0"), (own["GPL-3.0-only"].replace("https:", "http:"), "GPL-3.0-only")]
+    want += [(own["GPL-3.0-only"].replace("freedom", "liberty", 1), None), (own["MPL-2.0"] + "\nAnd more.", None), (bsd.split("3. Neither")[0], None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert [(i, got[i].license) for i in range(len(want))] == [(i, name) for i, (_, name) in enumerate(want)]
+    assert {r.license for r in got.values() if r.permissive} >= {"MIT", "Apache-2.0", "BSD-3-Clause"} and not any(r.permissive for r in got.values() if (r.license or "").startswith(("GPL", "LGPL", "CC-BY-SA")))
+
+
 def plain_base(text):
     """The base spans by plain regular expressions."""
     t = text or ""
