@@ -11,7 +11,7 @@ least counts over the sum of greatest, of the window and the item.
 A pair at the threshold is beyond the radius with a chance near one in a million per window.
 Items of fewer than five words are one shingle of their length and match exactly. A
 text shorter than an item is one window. Items without words match nothing; neither do null and
-empty texts. Rows are judged one by one, repeated ones alike, and keep all their columns; a column named leaks is
+empty texts. Items with null ids are searched, each for itself, and give leaks with a null item_id. Rows are judged one by one, repeated ones alike, and keep all their columns; a column named leaks is
 replaced. Items are taken in blocks of bounded size, each passed over all rows.
 """
 
@@ -65,7 +65,7 @@ def simhash(sums: np.ndarray, start: np.ndarray, count: np.ndarray | int) -> np.
 class Group:
     """Items of one length in words, with the tables that find those near to a fingerprint."""
 
-    def __init__(self, n_words: int, items: list[tuple[int, np.ndarray]], radius: int):
+    def __init__(self, n_words: int, items: list[tuple[object, np.ndarray]], radius: int):
         self.n_words, self.k = n_words, min(SHINGLE, n_words)
         self.ids = [i for i, _ in items]
         self.counts = [Counter(g.tolist()) for _, g in items]
@@ -116,7 +116,7 @@ class Block:
         """By row of the texts its leaks: for each item its best window."""
         starts, ends, bounds = K.words(data, offsets)
         values = K.word_hashes(data, starts, ends, lower=True)
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        best: dict[tuple[int, tuple[int, int]], tuple[float, int, int]] = {}
         for k, known in self.known.items():
             grams = K.gram_hashes(values, k)
             if not len(grams) or not len(known):
@@ -156,18 +156,18 @@ class Block:
                             best[key] = new
         out: dict[int, list[dict]] = {}
         for (d, item), (sim, start, words) in sorted(best.items()):
-            out.setdefault(d, []).append({"item_id": item, "start_word": -start, "n_words": words, "similarity": sim})
+            out.setdefault(d, []).append({"item_id": item[1] if item[0] == 0 else None, "start_word": -start, "n_words": words, "similarity": sim})
         return out
 
 
 def blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[Block]:
-    """The items in blocks of bounded size; items with null ids or without words are left out."""
+    """The items in blocks of bounded size; items without words are left out. Their ids are (0, item_id), or (1, a number) where it is null."""
     groups: list[Group] = []
     same: list[tuple[int, np.ndarray]] = []
     length = 0
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
+    rows = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     rows = rows.select("*", F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("n")).where("n > 0").orderBy("n", "item_id", "text")
-    for r in rows.toLocalIterator():
+    for number, r in enumerate(rows.toLocalIterator()):
         if same and (r.n != length or len(same) == GROUP_ITEMS):
             groups.append(Group(length, same, radius))
             same = []
@@ -177,7 +177,7 @@ def blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[Block]:
         length = r.n
         raw = np.frombuffer(r.text.encode(), np.uint8)
         starts, ends, _ = K.words(raw, np.array([0, len(raw)]))
-        same.append((r.item_id, K.gram_hashes(K.word_hashes(raw, starts, ends, lower=True), min(SHINGLE, r.n))))
+        same.append(((0, r.item_id) if r.item_id is not None else (1, number), K.gram_hashes(K.word_hashes(raw, starts, ends, lower=True), min(SHINGLE, r.n))))
     if same:
         groups.append(Group(length, same, radius))
     if groups:

@@ -64,6 +64,15 @@ def test_edited_passages(spark):
     assert got == brute_leaks(docs, [x for x in items if x[0] is not None])
 
 
+def test_items_with_null_ids(spark):
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(30)) for _ in range(3)]
+    docs = spark.createDataFrame([(0, f"so {texts[0]} on"), (1, f"{texts[1]} and {texts[2]} {texts[0]}"), (2, "none of it at all here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (7, texts[2])], "item_id long, text string")
+    got = {x.doc_id: [(y.item_id, y.start_word) for y in x.leaks] for x in dc.flag_leaks(docs, bench).collect()}
+    assert got == {0: [(None, 1)], 1: [(7, 31), (None, 0), (None, 61)], 2: []} or got == {0: [(None, 1)], 1: [(7, 31), (None, 61), (None, 0)], 2: []}
+
+
 def test_blocks_and_columns(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = pairs(docs, bench)
