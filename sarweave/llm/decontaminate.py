@@ -8,7 +8,11 @@ block, so that tables of all block values so near to an item's give every item w
 Candidates within it are verified by the weighted shingle similarity, the sum of
 least counts over the sum of greatest, of the window and the item.
 
-A pair at the threshold is beyond the radius with a chance near one in a million per window.
+A pair at the threshold is beyond the radius with a chance near 1e-5 per window of plain edits, but often
+where a long passage repeats a word, since shingles weigh by their count. So windows with as many
+of a group's shingles as the threshold needs are verified too, with the items that have so many of
+them; no pair at the threshold is lost.
+
 Items of fewer than five words are one shingle of their length and match exactly. A
 text shorter than an item is one window. Items without words match nothing; neither do null and
 empty texts. Items with null ids are searched, each for itself, and give leaks with a null item_id. Rows are judged one by one, repeated ones alike, and keep all their columns; a column named leaks is
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +75,11 @@ class Group:
         self.counts = [Counter(g.tolist()) for _, g in items]
         self.shingles = n_words - self.k + 1
         self.prints = np.array([simhash(bit_sums(g), np.array([0]), self.shingles)[0] for _, g in items], dtype=np.uint64)
+        self.has: dict[int, list[int]] = {}
+        for i, c in enumerate(self.counts):
+            for x in c:
+                self.has.setdefault(x, []).append(i)
+        self.own = np.sort(np.array(list(self.has), dtype=np.uint64))
         self.radius = radius
         self.tables = np.zeros((4, 1 << 16), dtype=np.uint64)
         masks = near_values(radius // 4)
@@ -93,6 +102,28 @@ class Group:
             i.append(np.full(len(at), item))
         return np.concatenate(w), np.concatenate(i)
 
+    def sharing(self, g: np.ndarray, some: np.ndarray, start: np.ndarray, count: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+        """Windows and items that share as many shingles as the similarity needs; some are the places of known ones."""
+        mine = some[np.isin(g[some], self.own)]
+        if not len(mine):
+            return
+        need = np.ceil(least * (count + self.shingles) / (1 + least) - 1e-9)
+        got = np.zeros(len(g) + 1, dtype=np.int32)
+        got[mine + 1] = 1
+        np.cumsum(got, out=got)
+        before = None
+        for w in np.flatnonzero(got[start + count] - got[start] >= np.maximum(need, 1)).tolist():
+            window = g[start[w] : start[w] + count[w]]
+            # The same window one place on is not better.
+            if before is not None and np.array_equal(window, before):
+                continue
+            before = window
+            votes: Counter = Counter()
+            for x, n in Counter(window.tolist()).items():
+                for i in self.has.get(x, ()):
+                    votes[i] += min(n, self.counts[i][x])
+            yield from ((w, i) for i, n in votes.items() if n >= need[w])
+
 
 class Block:
     """Groups of items, and by shingle length the hashes of all their shingles."""
@@ -136,6 +167,7 @@ class Block:
             g, h = grams[take], hit[take]
             sums = bit_sums(g)
             so_far = np.concatenate(([0], np.cumsum(h)))
+            some = np.flatnonzero(h)
             of = np.repeat(np.arange(len(docs)), n)
             room = np.repeat(base + n, n) - np.arange(len(take))
             for group in (x for x in self.groups if x.k == k):
@@ -144,7 +176,8 @@ class Block:
                 short = base[n < m]
                 at = np.concatenate((full, short))
                 count = np.concatenate((np.full(len(full), m), n[n < m]))
-                for w, i in zip(*group.near(simhash(sums, at, count)), strict=True):
+                pairs = list(zip(*(x.tolist() for x in group.near(simhash(sums, at, count))), strict=True))
+                for w, i in dict.fromkeys(chain(pairs, group.sharing(g, some, at, count, least))):
                     s, c = int(at[w]), int(count[w])
                     got, want = Counter(g[s : s + c].tolist()), group.counts[i]
                     both = (got & want).total()

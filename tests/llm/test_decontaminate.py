@@ -73,6 +73,21 @@ def test_items_with_null_ids(spark):
     assert got == {0: [(None, 1)], 1: [(7, 31), (None, 0), (None, 61)], 2: []} or got == {0: [(None, 1)], 1: [(7, 31), (None, 61), (None, 0)], 2: []}
 
 
+def test_long_repetitive_passages(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    items, docs = [], []
+    for n, run in ((200, 17), (300, 26), (500, 43)):
+        for _ in range(6):
+            plain = [word() for _ in range(n - run)]
+            items.append((len(items), " ".join([*plain, *["same"] * run])))
+            # The run is cut away, as much as the threshold lets go.
+            docs.append((len(docs), " ".join([*plain, *[word() for _ in range(run)]])))
+    docs += [(99, "same " * 3000)]
+    want = brute_leaks(docs, items)
+    assert len(want) == 18 and pairs(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")) == want
+
+
 def test_blocks_and_columns(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = pairs(docs, bench)
