@@ -3,7 +3,9 @@
 Base kinds are email, ip, card and phone; they stay whatever their score. The scored kinds are
 iban (mod 97), ssn and secret (a quoted hexadecimal token after its name); their score starts at
 what the pattern and checksum are worth, gains or loses by the words around the span, and has to
-reach MIN_SCORE. Offsets are code points, end exclusive.
+reach MIN_SCORE. An iban is kept beside base spans that it overlaps (its digits may pass for a
+card's); an ssn or secret is left out where it lies within a base span. Offsets are code points,
+end exclusive.
 
 A null or empty text has no spans. Repeated rows are judged alike. Time is linear in the length
 of a text: no pattern can backtrack over a run of characters.
@@ -113,7 +115,7 @@ def find_pii(text: str | None) -> list[tuple[str, int, int, float]]:
         more += [(m.start(), 6, m.end()) for m in SECRET.finditer(text)]
     scored = [(a, k, b, score(text, a, b, KINDS[k])) for a, k, b in found]
     for a, k, b in more:
-        if (s := score(text, a, b, KINDS[k])) >= MIN_SCORE and not any(a < y and x < b for x, y in taken):
+        if (s := score(text, a, b, KINDS[k])) >= MIN_SCORE and (k == 4 or not any(x <= a and b <= y for x, y in taken)):
             scored.append((a, k, b, s))
     return [(KINDS[k], a, b, s) for a, k, b, s in sorted(scored)]
 

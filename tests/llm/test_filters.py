@@ -123,6 +123,17 @@ def test_added_spans(text, kinds):
     assert [k for k, *_ in pii.find_pii(text)] == kinds
 
 
+def test_iban_beside_a_card():
+    ibans = [f"AT{98 - int(f'{n:016d}102900') % 97:02d}{n:016d}" for n in range(1904300234573201, 1904300234573301)]
+    both = [x for x in ibans if pii.luhn(x[2:])]
+    assert both and all(map(pii.mod97, ibans))
+    for x in both:
+        spaced = " ".join(x[i : i + 4] for i in range(0, 20, 4))
+        assert [k[:3] for k in pii.find_pii(f"to iban {spaced} now")] == [("iban", 8, 32), ("card", 10, 32)]
+    assert [k for k, *_ in pii.find_pii("my ssn is +1 536-22-8145")] == ["phone"]
+    assert [k for k, *_ in pii.find_pii('token = "ab4111111111111111cd41111111111111aa"')] == ["secret", "card"]
+
+
 def test_pii_query(spark, tmp_path):
     rows = [(1, "mail a.b@c.de or +1 (743) 555-3824", "x"), (2, None, "x"), (None, "", "x"), (3, "é 10.0.0.255 ü 4111 1111 1111 1111", "x"), (3, "é 10.0.0.255 ü 4111 1111 1111 1111", "x")]
     spark.createDataFrame(rows, "doc_id long, text string, pii string").write.parquet(f"{tmp_path}/documents.parquet")
