@@ -1,8 +1,9 @@
 """License scan: canonical digests of texts, joined to the digests of known licences.
 
-A text and its paragraph-free lines are normalised (case, punctuation, copyright lines and
+A text and each of its lines are normalised (case, punctuation, copyright lines and
 equivalent spellings), digested with SHA-256 and joined by equality with the digests of known
-licence texts. The known table has a fixed size, that of KNOWN, and is broadcast. Whole licences are read
+licence texts. No line is left out of the lookup. The known table has a fixed size, that of KNOWN, and is broadcast; what
+is found goes back to its rows by doc_id and a hash of the text. Whole licences are read
 from license_texts/, each with its title, with other usual titles and without one, with and without
 its appendix; a text with other words than these, such as an own name in a BSD clause, is not known.
 
@@ -125,53 +126,67 @@ def whole_texts() -> dict[str, list[str]]:
 SHORT = ("0BSD", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Zlib")
 #: Licences that let the text be used for training without further terms.
 PERMISSIVE = ("MIT", "ISC", "Zlib", "Apache-2.0", "CC-BY-4.0", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "Unlicense")
-#: Lines without any of these are no licence.
-MARKS = "licen[sc]e|permission|software|warrant"
-# Spellings that count as one.
-SPELLINGS = (
-    ("licences?", "license"), ("licensed", "license"), ("licenced", "license"), ("licenses", "license"),
-    ("organisation", "organization"), ("non ?commercial", "noncommercial"), ("merchantibility", "merchantability"),
-    ("sub license", "sublicense"), ("noninfringment", "noninfringement"), ("acknowledgement", "acknowledgment"),
-)
+# Spellings that count as one, by the spelling that stands for them.
+SPELLINGS = {
+    "license": ("licences?", "licensed", "licenced", "licenses"),
+    "organization": ("organisation",),
+    "noncommercial": ("non ?commercial",),
+    "merchantability": ("merchantibility",),
+    "sublicense": ("sub license",),
+    "noninfringement": ("noninfringment",),
+    "acknowledgment": ("acknowledgement",),
+}
 COPYRIGHT_LINE = r"(?im)^[ \t]*(?:(?:copyright[ \t]*)?(?:\(c\)|©)|copyright[ \t]+[0-9])[^\n]*$"
 for _name, _texts in whole_texts().items():
     KNOWN[_name] = (*KNOWN.get(_name, ()), *_texts)
 
 
-def normalised(text: Column) -> Column:
-    """Lower case, without copyright lines, one space between words, no punctuation, one spelling each."""
+def _spelled(text: Column, patterns: dict[str, tuple[str, ...]]) -> Column:
+    for plain, others in patterns.items():
+        text = F.regexp_replace(text, rf"\b(?:{'|'.join(others)})\b", plain)
+    return text
+
+
+def normalised_lines(text: Column) -> Column:
+    """Lower case, without copyright lines, one space between words, no punctuation, one spelling each; lines are kept."""
     out = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, " "))
-    out = F.regexp_replace(out, r"[^\p{L}\p{N}]+", " ")
-    for pattern, plain in SPELLINGS:
-        out = F.regexp_replace(out, rf"\b{pattern}\b", plain)
-    return F.trim(out)
+    out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
+    return _spelled(out, SPELLINGS)
+
+
+def joined_lines(lines: Column) -> Column:
+    """A text of normalised lines as one line; spellings of two words may have been parted by its end."""
+    return _spelled(F.trim(F.regexp_replace(lines, r"[ \n]+", " ")), {k: v for k, v in SPELLINGS.items() if any(" " in x for x in v)})
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """license and digest of each known text; as many rows as KNOWN has, whatever the input."""
+    """digest of each known text and its licences; as many rows as KNOWN has, whatever the input."""
     rows = [(name, text) for name, texts in KNOWN.items() for text in texts]
     at = spark.createDataFrame(rows, "license string, known string")
-    return at.select("license", F.sha2(normalised(F.col("known")), 256).alias("digest")).distinct()
+    digest = F.sha2(joined_lines(normalised_lines(F.col("known"))), 256)
+    return at.groupBy(digest.alias("digest")).agg(F.array_sort(F.collect_set("license")).alias("names"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, license (of the whole text, or null), line_licenses (of its lines, sorted, distinct), permissive.
 
-    permissive is null where no licence is found.
+    The whole text and each of its lines are pieces, found by one join of digests. permissive is null where
+    no licence is found.
     """
-    spark = docs.sparkSession
-    known = known_digests(spark).groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("license")).collect()
-    by_digest = F.broadcast(spark.createDataFrame(known, "digest string, license string"))
-    by_line = F.create_map(*(F.lit(x) for r in known for x in (r.digest, r.license)))
     text = F.coalesce("text", F.lit(""))
-    # A known text has one of these words, so that other lines need no digest.
-    lines = F.filter(F.split(text, "\n"), lambda x: F.lower(x).rlike(MARKS))
-    found = F.array_compact(F.transform(lines, lambda x: F.try_element_at(by_line, F.sha2(normalised(x), 256))))
-    scanned = docs.select("doc_id", F.sha2(normalised(text), 256).alias("digest"), F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("line_licenses"))
-    names = F.filter(F.split(F.concat_ws(",", "license", "line_licenses"), ","), lambda x: x != "")
-    return scanned.join(by_digest, "digest", "left").select(
+    keyed = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
+    lines = keyed.select("doc_id", "th", normalised_lines(F.col("text")).alias("lines"))
+    pieces = F.concat(F.array(F.struct(joined_lines(F.col("lines")).alias("piece"), F.lit(True).alias("whole"))), F.transform(F.split("lines", "\n"), lambda x: F.struct(F.trim(x).alias("piece"), F.lit(False).alias("whole"))))
+    each = lines.select("doc_id", "th", F.explode(pieces).alias("p")).where("p.piece != ''").select("doc_id", "th", "p.whole", F.sha2("p.piece", 256).alias("digest"))
+    hits = each.join(F.broadcast(known_digests(docs.sparkSession)), "digest").select("doc_id", "th", "whole", F.explode("names").alias("name"))
+    named = lambda whole: F.array_sort(F.collect_set(F.when(whole, F.col("name"))))
+    of = hits.groupBy(F.col("doc_id").alias("own"), F.col("th").alias("hash")).agg(
+        named(F.col("whole")).alias("of_text"), named(~F.col("whole")).alias("of_lines"), F.min(F.col("name").isin(*PERMISSIVE)).alias("permissive")
+    )
+    found = keyed.select("doc_id", "th").join(of, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("th") == F.col("hash")), "left")
+    return found.select(
         "doc_id",
-        "license",
-        "line_licenses",
-        F.when(F.size(names) > 0, F.forall(names, lambda x: x.isin(*PERMISSIVE))).alias("permissive"),
+        F.when(F.size("of_text") > 0, F.array_join("of_text", ",")).alias("license"),
+        F.coalesce(F.array_join("of_lines", ","), F.lit("")).alias("line_licenses"),
+        "permissive",
     )

@@ -49,8 +49,9 @@ def _licenses() -> str:
         pattern = licenses.COPYRIGHT_LINE
         out = f"lower(regexp_replace({t}, {_quoted(pattern)}, ' ', 'g'))"
         out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
-        for p, plain in licenses.SPELLINGS:
-            out = f"regexp_replace({out}, '\\b{p}\\b', '{plain}', 'g')"
+        for plain, others in licenses.SPELLINGS.items():
+            for p in others:
+                out = f"regexp_replace({out}, '\\b{p}\\b', '{plain}', 'g')"
         return f"trim({out})"
 
     known = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, ts in licenses.KNOWN.items() for t in ts)
@@ -59,7 +60,7 @@ def _licenses() -> str:
 WITH k AS (SELECT DISTINCT license, sha256({norm('known')}) AS digest FROM (VALUES {known}) AS v(license, known)),
 d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT d.doc_id, string_agg(license, ',' ORDER BY license) AS license FROM d JOIN k ON k.digest = sha256({norm('t')}) GROUP BY d.doc_id),
-l AS (SELECT DISTINCT doc_id, unnest(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(lower(x), '{licenses.MARKS}'))) AS line FROM d),
+l AS (SELECT DISTINCT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 f AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, bool_and(license IN ({ok})) AS fine FROM l JOIN k ON k.digest = sha256({norm('line')}) GROUP BY doc_id),
 x AS (SELECT doc_id, bool_and(n IN ({ok})) AS fine FROM (SELECT doc_id, unnest(string_split(license, ',')) AS n FROM w) GROUP BY doc_id)
 SELECT d.doc_id, w.license, coalesce(f.line_licenses, '') AS line_licenses,

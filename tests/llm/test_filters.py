@@ -140,3 +140,20 @@ def test_pii_query(spark, tmp_path):
     got = {r.doc_id: r for r in queries.op6_pii(spark, str(tmp_path)).collect()}
     assert got[1].spans == "email:5:13,phone:17:34" and (got[1].n_email, got[1].n_phone) == (1, 1) and got[1].base_sha256 == pii.digest(got[1].spans)
     assert got[3].spans == "ip:2:12,card:15:34" and got[2].spans == "" == got[None].spans and got[2].base_sha256 == pii.digest("")
+
+
+def test_every_known_text_is_found(spark):
+    known = [(name, t) for name, ts in licenses.KNOWN.items() for t in ts if re.search(r"\w", re.sub(licenses.COPYRIGHT_LINE, "", t))]
+    docs = spark.createDataFrame([(2 * i, t) for i, (_, t) in enumerate(known)] + [(2 * i + 1, f"Some words.\n  {t}\r\nAnd more.") for i, (_, t) in enumerate(known)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    for i, (name, t) in enumerate(known):
+        assert name in got[2 * i].license.split(","), t
+        assert got[2 * i + 1].license is None
+        if "\n" not in t.strip():
+            assert name in got[2 * i + 1].line_licenses.split(","), t
+
+
+def test_a_known_line_in_many_equal_rows(spark):
+    docs = spark.createDataFrame([(None, "Released under CC BY 4.0.")] * 50 + [(1, "Released under CC BY 4.0."), (1, "x")], "doc_id long, text string").repartition(7)
+    got = sorted(((r.doc_id, r.line_licenses, r.license, r.permissive) for r in licenses.scan_licenses(docs).collect()), key=repr)
+    assert got == sorted([(None, "CC-BY-4.0", "CC-BY-4.0", True)] * 50 + [(1, "CC-BY-4.0", "CC-BY-4.0", True), (1, "", None, None)], key=repr)
