@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,24 +30,27 @@ def session(app: str = "sarweave", cpus: str = "*", **conf: str) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    A cluster names it in spark.checkpoint.dir; only where that is unset (tests on one
-    machine) a temporary folder of our own is taken and put into the session.
+    A cluster names it in spark.checkpoint.dir. Only where that is unset and all runs in one process (master
+    local, as in tests) a temporary folder of our own is taken and put into the session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: a cluster needs a folder that the driver and all executors share")
         d = "file://" + tempfile.mkdtemp(prefix="sarweave-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in Arrow batches of few rows, so that two copies of a batch stay small on both sides.
+def text_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """Hand texts to Python in Arrow batches of few rows and bytes, so that two copies of a batch stay small on both sides.
 
-    A number of rows that the session sets itself is left as it is.
+    It holds for the session from then on, since plans read it when they run; what the session sets itself is left as it is.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+    for key, default, value in (("maxRecordsPerBatch", "10000", str(rows)), ("maxBytesPerBatch", "67108864b", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, value)
 
 
 def _scratch(spark: SparkSession) -> str:
