@@ -115,7 +115,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    return RangeHash((TABLE_LOWER if lower else TABLE)[data]).of(starts, ends)
+    """Hashes of words; long texts are taken in pieces that end between words, for memory."""
+    table = TABLE_LOWER if lower else TABLE
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + 2 * CHUNK_BYTES, side="right")))
+        lo, hi = starts[i], ends[j - 1]
+        out[i:j] = RangeHash(table[data[lo:hi]]).of(starts[i:j] - lo, ends[i:j] - lo)
+        i = j
+    return out
 
 
 def gram_hashes(values: np.ndarray, k: int, lane: int = 0) -> np.ndarray:

@@ -130,34 +130,91 @@ def _windows(s: Scheme) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def fetch(docs: DataFrame, wanted: DataFrame, s: Scheme) -> DataFrame:
-    """The tokens of contents. wanted: rank, th and an array segs of (pos, wins, at, anchor, c1, c2, first, n)."""
-    schema = "anchor long, at int, c1 long, c2 long, first long, n long, body binary"
+def letters(values: np.ndarray) -> np.ndarray:
+    """A letter for each word: 20 bits of its hash."""
+    return (values >> K.U(44)).astype(np.int64)
+
+
+def fetch(docs: DataFrame, wanted: DataFrame, s: Scheme, carry: dict[str, str], phrase: bool = False) -> DataFrame:
+    """The tokens of contents, as body, and what is carried of wanted: rank, th and an array segs of pos, wins, at and more.
+
+    carry: names and types of the fields of segs to carry. Where a field open is false, body is null. phrase: adds p1
+    and p2, the letters of the anchor, up to three in each.
+    """
+    schema = ", ".join(f"{n} {t}" for n, t in (carry | ({"p1": "long", "p2": "long"} if phrase else {}) | {"body": "binary"}).items())
+    names = [*carry, *(("p1", "p2") if phrase else ()), "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = K.text_bytes(b.column(0))
             lists, flat = b.column(1).offsets.to_numpy(), b.column(1).flatten()
             lists = lists - lists[0]
-            col = {f.name: flat.field(k).to_numpy() for k, f in enumerate(flat.type)}
+            col = {f.name: flat.field(k) for k, f in enumerate(flat.type)}
+            pos, wins, at = (col[c].to_numpy() for c in ("pos", "wins", "at"))
+            is_open = col["open"].to_numpy(zero_copy_only=False) if "open" in col else np.ones(len(flat), dtype=bool)
             for i, j in K.pieces(offsets):
                 part = data[offsets[i] : offsets[j]]
-                _, bounds, starts, ends = s.tokens(part, offsets[i : j + 1] - offsets[i])
-                lo, hi = lists[i], lists[j]
+                values, bounds, starts, ends = s.tokens(part, offsets[i : j + 1] - offsets[i])
+                lo, hi = int(lists[i]), int(lists[j])
                 doc = np.repeat(np.arange(j - i), np.diff(lists[i : j + 1]))
-                first = bounds[doc] + col["pos"][lo:hi]
-                last = first + col["wins"][lo:hi] + s.window - 2
+                first = bounds[doc] + pos[lo:hi]
                 raw = part.tobytes()
-                a, z = starts[first], ends[last]
+                a, z = starts[first], ends[first + wins[lo:hi] + s.window - 2]
                 for p in range(0, hi - lo, 20_000):
                     q = min(p + 20_000, hi - lo)
-                    body = [raw[x:y] for x, y in zip(a[p:q].tolist(), z[p:q].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(col[c][lo + p : lo + q]) for c in ("anchor", "at", "c1", "c2", "first", "n")), pa.array(body, pa.binary())], names=["anchor", "at", "c1", "c2", "first", "n", "body"])
+                    out = [col[c].slice(lo + p, q - p) for c in carry]
+                    if phrase:
+                        out += [pa.array(x) for x in phrases(values, first[p:q] + at[lo + p : lo + q], s.gram)]
+                    body = [raw[x:y] if o else None for x, y, o in zip(a[p:q].tolist(), z[p:q].tolist(), is_open[lo + p : lo + q].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*out, pa.array(body, pa.binary())], names=names)
 
     joined = docs.join(wanted, ["rank", "th"]).select("text", "segs")
     return joined.mapInArrow(run, schema)
 
 
+def phrases(values: np.ndarray, place: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of the grams at places, three in a long."""
+    out = np.zeros((2, len(place)), dtype=np.int64)
+    for k in range(gram):
+        out[k // 3] |= letters(values[place + k]) << (20 * (k % 3))
+    return out[0], out[1]
+
+
+def shard_groups(bodies: DataFrame, s: Scheme, in_shard: Callable[[pa.Table], pa.Table], by_digest: Column) -> DataFrame:
+    """c1, c2, b and e: ranges of windows that in_shard finds among the contents (with anchor and windows) of each shard.
+
+    All contents of an anchor meet in one shard. Those of an anchor with more windows than a shard should hold are
+    told apart by digests of single windows instead: by_digest, over first and n of a content's window and least
+    and total of all equal ones.
+    """
+    spark = bodies.sparkSession
+    sizes = bodies.groupBy("anchor").agg(F.max("windows").alias("windows"))
+    total, largest = sizes.agg(F.sum("windows"), F.max("windows")).first()
+    n_shards = max(1, -(-(total or 0) // s.shard_windows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    few = F.col("windows") <= s.shard_windows
+    shared = bodies.where(few).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
+    found = shared.groupBy("shard").applyInArrow(lambda t: in_shard(t), "c1 long, c2 long, b int, e int")
+    if (largest or 0) > s.shard_windows:
+        each = bodies.where(~few).mapInArrow(_windows(s), "c1 long, c2 long, first long, n long, i int, w1 long, w2 long")
+        each = materialize(each, "windows")
+        equal = each.groupBy("w1", "w2").agg(F.min("first").alias("least"), F.sum("n").alias("total"))
+        found = found.unionByName(each.join(equal, ["w1", "w2"]).where(by_digest).select("c1", "c2", F.col("i").alias("b"), (F.col("i") + 1).alias("e")))
+    return found
+
+
+def collapsed(docs: DataFrame, limit: int) -> tuple[DataFrame, int, bool]:
+    """Ranked docs with copies, their bytes, and whether rows were put together: those that repeat one row for more than limit bytes."""
+    size = F.sum(F.octet_length("text").cast("long") + 1)
+    sizes = docs.groupBy("rank", "th").agg(size.alias("bytes"), F.count("*").alias("n"))
+    total, largest = sizes.agg(F.sum("bytes"), F.max(F.when(F.col("n") > 1, F.col("bytes")))).first()
+    if (largest or 0) <= limit:
+        return docs.withColumn("copies", F.lit(1).cast("long")), total or 0, False
+    hot = materialize(sizes.where((F.col("bytes") > limit) & (F.col("n") > 1)).select("rank", "th"), "repeated-rows")
+    same = docs.join(hot, ["rank", "th"], "left_semi").groupBy("doc_id", "rank", "th").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    rest = docs.join(hot, ["rank", "th"], "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    return rest.unionByName(same), total, True
+
+
 def repeats(
     docs: DataFrame,
     s: Scheme,
@@ -184,34 +241,21 @@ def repeats(
     contents = rows.groupBy("c1", "c2").agg(
         F.min("anchor").alias("anchor"), least.alias("owner"), F.max("rank").alias("last"), F.sum("reps").alias("n"), F.min("wins").alias("wins")
     )
-    anchors = contents.groupBy("anchor").agg(
-        F.count("*").alias("contents"), F.sum("wins").alias("windows"), F.min("n").alias("fewest"),
-        F.min("owner.rank").alias("lowest"), F.max("last").alias("highest"), F.max("owner.rank").alias("newest"),
-    )
-    live = contents.drop("wins").join(anchors.withColumn("mixed", (F.col("contents") >= 2) & anchor_open), "anchor").select(
-        "c1", "c2", "owner", "n", "mixed", "lowest", "windows"
-    )
+    contents = materialize(contents, "contents")
+    anchors = contents.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum("wins").alias("windows"), F.min("n").alias("fewest"))
+    # Written first, so that the join's two sides are plain shuffles, whose hot anchors Spark can split.
+    anchors = materialize(anchors.select("anchor", "windows", ((F.col("contents") >= 2) & anchor_open).alias("mixed")), "anchors")
+    live = materialize(contents.join(anchors, "anchor").select("c1", "c2", "owner", "n", "mixed", "windows"), "live")
     cand = materialize(rows.join(live, ["c1", "c2"]), "candidates")
-    drop_materialized(rows)
+    for done in (rows, contents, anchors, live):
+        drop_materialized(done)
     release(spark)
-    segs = F.collect_set(F.struct("pos", "wins", "at", "anchor", "c1", "c2", F.col("owner.rank").alias("first"), "n"))
+    segs = F.collect_set(F.struct("pos", "wins", "at", "anchor", "windows", "c1", "c2", F.col("owner.rank").alias("first"), "n"))
     owners = cand.where("mixed AND rank = owner.rank AND th = owner.th AND pos = owner.pos")
-    bodies = materialize(fetch(docs, owners.groupBy("rank", "th").agg(segs.alias("segs")), s), "bodies")
+    carry = {"anchor": "long", "windows": "long", "at": "int", "c1": "long", "c2": "long", "first": "long", "n": "long"}
+    bodies = materialize(fetch(docs, owners.groupBy("rank", "th").agg(segs.alias("segs")), s, carry), "bodies")
     release(spark)
-    sizes = owners.groupBy("anchor").agg(F.max("windows").alias("windows"))
-    total, largest = sizes.agg(F.sum("windows"), F.max("windows")).first()
-    marks = "c1 long, c2 long, b int, e int"
-    n_shards = max(1, -(-(total or 0) // s.shard_windows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shared = bodies
-    if (largest or 0) > s.shard_windows:
-        hot = sizes.where(F.col("windows") > s.shard_windows).select("anchor")
-        shared = bodies.join(hot, "anchor", "left_anti")
-    found = shared.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards))).groupBy("shard").applyInArrow(lambda t: in_shard(t), marks)
-    if (largest or 0) > s.shard_windows:
-        each = bodies.join(hot, "anchor", "left_semi").mapInArrow(_windows(s), "c1 long, c2 long, first long, n long, i int, w1 long, w2 long")
-        each = materialize(each, "windows")
-        equal = each.groupBy("w1", "w2").agg(F.min("first").alias("least"), F.sum("n").alias("total"))
-        found = found.unionByName(each.join(equal, ["w1", "w2"]).where(by_digest).select("c1", "c2", F.col("i").alias("b"), (F.col("i") + 1).alias("e")))
+    found = shard_groups(bodies, s, in_shard, by_digest)
     full = cand.where(settled).select("rank", "th", F.col("pos").alias("b"), (F.col("pos") + F.col("wins") * F.col("reps")).alias("e"))
     opened = cand.where(F.col("mixed") & is_open).select("c1", "c2", "rank", "th", F.explode(F.transform(F.sequence(F.lit(0), F.col("reps") - 1), lambda r: F.col("pos") + r * F.col("wins"))).alias("pos"))
     some = opened.join(found, ["c1", "c2"]).select("rank", "th", (F.col("pos") + F.col("b")).alias("b"), (F.col("pos") + F.col("e")).alias("e"))

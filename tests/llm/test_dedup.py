@@ -1,11 +1,14 @@
 import random
 
+import ahocorasick
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sarweave.llm import kernels as K
 from sarweave.llm import suffix_dedup, winnow
-from sarweave.llm.substring_dedup import substring_dedup
+from sarweave.llm.substring_dedup import Passages, substring_dedup
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -33,10 +36,10 @@ def same(a, b):
     assert sorted(map(tuple, a), key=repr) == sorted(b, key=repr)
 
 
-@pytest.mark.parametrize("limit", [300_000, 20])
-def test_substrings_small(spark, limit):
-    rows = made(1)
-    out = substring_dedup(spark.createDataFrame(rows, SCHEMA), window=8, gram=3, shard_windows=limit)
+@pytest.mark.parametrize(("limit", "size"), [(300_000, 1 << 20), (20, 2000), (300, 400)])
+def test_substrings_small(spark, limit, size):
+    rows = made(1) + [(50, "ab ba " * 40)] * 30 + [(None, "ab ba " * 20)] * 30
+    out = substring_dedup(spark.createDataFrame(rows, SCHEMA), window=8, gram=3, shard_windows=limit, shard_bytes=size)
     same(got(out, "doc_id", "n_words", "n_removed", F.sha2("kept", 256)), brute.op1(rows, 8))
 
 
@@ -54,6 +57,32 @@ def test_on_documents(spark):
     same(got(suffix_dedup.suffix_dedup(docs), "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)), brute.op2(rows))
 
 
+def test_occurrences_of_the_automaton_decide():
+    """Without its phrases a shard's automaton finds nothing, and nothing goes."""
+    scheme = winnow.Scheme("words", 8, 3, 100)
+    texts = [f"w{i} " * 3 + " ".join(f"p{k}" for k in range(20)) + f" x{i}" for i in range(2)]
+    data, offsets = K.text_bytes(pa.array(texts))
+    values, bounds, *_ = scheme.tokens(data, offsets)
+    g = winnow.segments(values, bounds, scheme)
+    own = g["doc"] == 0
+    p1, p2 = winnow.phrases(values, (g["pos"] + bounds[g["doc"]] + g["at"])[own], 3)
+    cols = {"p1": p1, "p2": p2, "at": g["at"][own], "wins": g["wins"][own], "c1": g["c1"][own], "c2": g["c2"][own], "first": np.zeros(own.sum(), np.int64)}
+    runs = pa.array([[] for _ in p1], pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())])))
+    passages = Passages(pa.table({**{k: pa.array(v) for k, v in cols.items()}, "runs": runs}), scheme)
+    gone = passages.removed(values, bounds, np.array([0, 1]))
+    assert gone[: bounds[1]].sum() == 0 and 8 <= gone[bounds[1] :].sum() <= 20
+    passages.automaton = ahocorasick.Automaton()
+    assert not passages.removed(values, bounds, np.array([0, 1])).any()
+
+
+def test_long_texts(spark):
+    r = random.Random(8)
+    long = " ".join(r.choice("abcdefghij") * r.randint(1, 9) for _ in range(60_000))
+    rows = [(3, long), (1, long[100_000:150_000]), (2, "x" * 3_000_000 + " " + long[:1000])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    same(got(substring_dedup(docs), "doc_id", "n_words", "n_removed", F.sha2("kept", 256)), brute.op1(rows))
+
+
 def test_empty_and_clashing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, rank string, th int, spans int")
     assert substring_dedup(empty).count() == 0
