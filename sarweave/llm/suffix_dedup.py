@@ -1,10 +1,11 @@
 """Suffix-array dedup: bytes covered by 200-byte strings that start anywhere else go.
 
-Candidates are found by winnowing (see winnow); a content that occurs twice or more goes whole. The
+Candidates are found by winnowing (see winnow); a content that occurs twice or more goes whole, by its digest. The
 others are sorted with the contents that share their anchor, as suffixes of one text cut at 200
-bytes: multikey quicksort over eight-byte characters to a shallow depth, all tied groups of a level
+bytes: multikey quicksort over eight-byte characters to a shallow depth, all groups of a shard
 at once, then a blind trie for each group that is still tied. Suffixes that a trie finds equal in
-all 200 bytes repeat. Overlapping occurrences and those in the same document count. Strings are
+all 200 bytes repeat. Anchors with more windows than a shard should hold are settled by
+digests of their windows instead. Overlapping occurrences and those in the same document count. Strings are
 judged on the input; matches never cross documents.
 
 A null text counts as empty. Repeated rows repeat each other's strings. The kept bytes may end
@@ -13,6 +14,8 @@ inside a character, so that they are binary. Of all columns doc_id is carried.
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,20 +42,42 @@ def characters(text: np.ndarray) -> np.ndarray:
 def multikey_groups(chars: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices of starts whose suffixes agree in depth bytes with another one, in suffix order, and where their groups begin.
 
-    One level takes one character and splits all groups that are still tied.
+    Suffixes are bucketed by their first character. Then multikey quicksort, all groups at once: a round parts
+    each group into the suffixes below, at and above the middle one's character; those at it go on to the next character.
     """
-    order, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
-    for d in range(0, depth, 8):
-        c = chars[starts[order] + d]
-        by = np.lexsort((c, group))
-        order, group, c = order[by], group[by], c[by]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (group[1:] != group[:-1]) | (c[1:] != c[:-1])
-        group = np.cumsum(new)
-        tied = ~new
-        tied[:-1] |= ~new[1:]
-        order, group = order[tied], group[tied]
-    return order, np.flatnonzero(np.diff(group, prepend=-1))
+    order = np.argsort(chars[starts], kind="stable")
+    c = chars[starts[order]]
+    head = np.append(True, c[1:] != c[:-1])[: len(order)]
+    # Of each tied suffix: its place in the order, its group, and the depth in bytes to which the group agrees.
+    place, level = np.arange(len(order)), np.full(len(order), 8)
+    group = np.cumsum(head)
+    ties: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while True:
+        size = np.bincount(group, minlength=group[-1] + 1 if len(group) else 1)
+        tied = size[group] > 1
+        done = tied & (level >= depth)
+        if done.any():
+            ties.append((place[done], order[done], head[done]))
+        going = tied & ~done
+        if not going.any():
+            break
+        order, place, level, head = order[going], place[going], level[going], head[going]
+        begin = np.flatnonzero(head)
+        end = np.append(begin[1:], len(order))
+        of = np.repeat(np.arange(len(begin)), end - begin)
+        c = chars[starts[order] + level]
+        pivot = c[(begin + end) // 2][of]
+        key = 3 * of + 1 + (c > pivot) - (c < pivot)
+        by = np.argsort(key, kind="stable")
+        order, key = order[by], key[by]
+        level = np.where(key % 3 == 1, level[by] + 8, level[by])
+        head = np.append(True, key[1:] != key[:-1])
+        group = np.cumsum(head)
+    if not ties:
+        return order[:0], order[:0]
+    place, order, head = (np.concatenate(x) for x in zip(*ties, strict=True))
+    by = np.argsort(place)
+    return order[by], np.flatnonzero(head[by])
 
 
 class BlindTrie:
@@ -107,35 +132,20 @@ class BlindTrie:
 
 
 def equal_suffixes(text: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> np.ndarray:
-    """For each of starts whether another one begins the same length bytes.
-
-    The first suffix of a tied group is the first leaf of its trie; those equal to it are found for all
-    groups at once. A trie is built where two others or more are left.
-    """
-    depth = min(shallow, length // 8 * 8)
-    chars = characters(np.frombuffer(text, np.uint8))
-    order, begin = multikey_groups(chars, starts, depth)
-    at = starts[order]
-    size = np.diff(np.append(begin, len(order)))
-    out = np.zeros(len(text) + 1, dtype=bool)
-    first = np.repeat(begin, size)
-    same = np.flatnonzero(np.arange(len(at)) != first)
-    left = np.zeros(len(at), dtype=bool)
-    left[same] = True
-    for d in [*range(depth, length - 7, 8), length - 8]:
-        same = same[chars[at[same] + d] == chars[at[first[same]] + d]]
-    left[same] = False
-    out[at[same]] = out[at[first[same]]] = True
-    others = np.flatnonzero(left)
-    cuts = np.flatnonzero(np.diff(first[others], prepend=-1))
-    counts = np.diff(np.append(cuts, len(others)))
-    for lo, n in zip(cuts[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True):
+    """For each of starts whether another one begins the same length bytes."""
+    depth = max(8, min(shallow, length // 8 * 8))
+    order, begin = multikey_groups(characters(np.frombuffer(text, np.uint8)), starts, depth)
+    at = starts[order].tolist()
+    equal: list[int] = []
+    for lo, hi in pairwise([*begin.tolist(), len(at)]):
         trie = BlindTrie(text, depth, length)
-        for s in at[others[lo : lo + n]].tolist():
+        for s in at[lo:hi]:
             trie.insert(s)
         for leaf in trie.leaves():
             if len(leaf) > 1:
-                out[leaf] = True
+                equal += leaf
+    out = np.zeros(len(text) + 1, dtype=bool)
+    out[equal] = True
     return out[starts]
 
 

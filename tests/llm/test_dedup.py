@@ -106,6 +106,20 @@ def test_equal_suffixes():
     assert len(order) == len(seen)
 
 
+def test_multikey_groups():
+    r = np.random.default_rng(6)
+    text = r.integers(97, 99, 4000).astype(np.uint8)
+    starts = np.arange(0, 3900, 3)
+    order, begin = suffix_dedup.multikey_groups(suffix_dedup.characters(text), starts, 16)
+    cut = [text[s : s + 16].tobytes() for s in starts]
+    want = sorted(x for x in cut if cut.count(x) > 1)
+    assert [cut[i] for i in order] == want
+    assert begin.tolist() == [i for i in range(len(want)) if not i or want[i] != want[i - 1]]
+    one = suffix_dedup.multikey_groups(suffix_dedup.characters(text), starts[:1], 16)
+    assert not len(one[0]) and not len(suffix_dedup.multikey_groups(suffix_dedup.characters(text), starts[:0], 16)[1])
+    assert not suffix_dedup.equal_suffixes(b"", np.empty(0, np.int64), 200).any()
+
+
 def test_equal_windows_have_equal_anchors():
     r = np.random.default_rng(3)
     values = np.tile(r.integers(0, 2**63, 37).astype(np.uint64), 9)
