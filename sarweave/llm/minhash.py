@@ -12,9 +12,13 @@ confirmed on the full sets.
 Only components are wanted, so that pairs inside one are skipped: rounds first compare each node with
 one leader of its lists and merge what is confirmed; at the end all pairs of lists that
 still lie in different components are compared. Lists of up to LONG nodes are joined for that. Nodes
-that share longer lists form clusters, cut into blocks of bounded bytes; each two blocks of a
-cluster meet in one task that merges the posting lists of their full sets and gives links only,
-one at most for each two components. No pair of texts above the threshold is left out.
+that share longer lists, such as texts around one boilerplate, are posted again, under the rarest
+shingles of their full sets (as many as two sets at the threshold can't do without; shingles that no other of these
+nodes has are skipped), which sends each node's set through one shuffle, however many nodes there are. Short lists
+of these are joined like the others. What still shares long ones forms clusters, cut into blocks of bounded bytes;
+each two blocks of a cluster meet in one task that merges the posting lists of their sets, counts
+the matches of what these propose, and gives links only, one at most for each two components. Matches are counted
+for every pair, whatever proposed it. No pair of texts above the threshold is left out.
 
 A null or empty text has an empty set and is linked with nothing. A null doc_id ranks after all
 others; its component_id is null if no document with an id is reached. Rows with equal sets are in
@@ -146,11 +150,12 @@ def _links(pairs: DataFrame, nodes: DataFrame, t: int, percent: int) -> DataFram
     return confirmed(both, percent)
 
 
-def merged_links(sets: list[np.ndarray], comp: np.ndarray, left: int, same: bool, percent: int) -> list[tuple[int, int]]:
+def merged_links(sets: list[np.ndarray], sig: np.ndarray, comp: np.ndarray, left: int, same: bool, t: int, percent: int) -> list[tuple[int, int]]:
     """Links that join components among sets: of the first left ones with the others, or (same) of all with all.
 
     For each set the posting lists of its rarest shingles (its prefix) propose partners in other
-    components; overlaps are counted by merging all its lists, or set by set where few are proposed.
+    components. Of those with t matches or more of the signatures (rows of sig) overlaps are counted by merging all lists
+    of the set, or set by set where few are proposed.
     """
     n = np.array([len(x) for x in sets])
     at = np.concatenate(([0], np.cumsum(n)))
@@ -174,6 +179,7 @@ def merged_links(sets: list[np.ndarray], comp: np.ndarray, left: int, same: bool
         near = np.unique(np.concatenate([posted[begins[k] : ends[k]] for k in prefix]))
         near = near[(near > x) if same else (near >= left)]
         near = near[(100 * n[near] >= percent * n[x]) & (100 * n[x] >= percent * n[near]) & (comp[near] != comp[x])]
+        near = near[(sig[near] == sig[x]).sum(axis=1) >= t]
         if not len(near):
             continue
         if len(near) > 24:
@@ -188,16 +194,59 @@ def merged_links(sets: list[np.ndarray], comp: np.ndarray, left: int, same: bool
     return out
 
 
-def _cluster_links(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _mixed(at: DataFrame) -> DataFrame:
+    """Of posting lists (key, node, comp) those with several components: key, lead (least comp and its least node), length.
+
+    Written, so that its join with the lists has two plain shuffles, whose long lists Spark can split.
+    """
+    lists = at.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("lead"), F.max("comp").alias("high"), F.count("*").alias("length"))
+    return materialize(lists.where("lead.comp < high").select("key", "lead", "length"), "mixed")
+
+
+def _set_lists(long: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """For the nodes of long lists: key, node and comp, posted under the rarest shingles of their full sets.
+
+    Two sets at the threshold share one of the n - ceil(percent * n / 100) + 1 rarest of either; of these, shingles
+    that no other of the nodes has are left out.
+    """
+    members = materialize(long.select("node", "comp").distinct().join(nodes.select("node", "hashes"), "node"), "members")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = K.text_bytes(b.column(1))
+            lists = pa.ListArray.from_arrays(pa.array((offsets // 8).astype(np.int32)), pa.array(data.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["node", "keys"])
+
+    each = members.select("node", "hashes").mapInArrow(run, "node struct<rank:long,th:long>, keys array<long>").select("node", F.explode("keys").alias("key"))
+    each = materialize(each, "shingles")
+    frequent = materialize(each.groupBy("key").agg(F.count("*").alias("df")).where("df >= 2"), "frequent")
+    size = F.octet_length("hashes") / 8
+    prefix = size - F.ceil(size * percent / 100) + 1
+    shared = each.join(frequent, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("keys"))
+    rarest = shared.join(members, "node").withColumn("take", (prefix - (size - F.size("keys"))).cast("int")).where("take > 0")
+    return materialize(rarest.select(F.explode(F.slice("keys", 1, F.col("take"))).alias("k"), "node", "comp").select("k.key", "node", "comp"), "set-lists")
+
+
+def _short_pairs(at: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes in different components of the lists (key, node, comp, length) that are short."""
+    short = at.where(F.col("length") <= LONG)
+    other = short.select("key", F.col("node").alias("b"), F.col("comp").alias("other"))
+    pairs = short.select("key", F.col("node").alias("a"), "comp").join(other, "key").where("comp < other").select("a", "b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _cluster_links(lists: DataFrame, nodes: DataFrame, t: int, percent: int) -> DataFrame:
     """Links (a, b) between components of nodes (key, node, comp) that share long lists."""
     first = lists.groupBy("key").agg(F.min("node").alias("b"))
     cluster = components(lists.join(first, "key").select(F.col("node").alias("a"), "b"))
     members = lists.select("node", "comp").distinct().join(cluster, "node", "left").select("node", "comp", F.coalesce("root", "node").alias("cluster"))
-    members = materialize(members.join(nodes.select("node", "hashes"), "node"), "clusters")
+    members = materialize(members.join(nodes, "node"), "clusters")
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("hashes")) / BLOCK_BYTES).cast("int").alias("blocks"))
     own = members.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = own.select("cluster", "node", "comp", "hashes", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = own.select("cluster", "node", "comp", "sig", "hashes", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    least = t
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -207,7 +256,8 @@ def _cluster_links(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFram
         raw = t["hashes"].combine_chunks()
         sets = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in order.tolist()]
         comp = pd.factorize(pd.MultiIndex.from_arrays([t["comp"].combine_chunks().field(c).to_numpy() for c in (0, 1)]))[0][order]
-        links = [] if not same and left == len(sets) else merged_links(sets, comp, left, same, percent)
+        sig = t["sig"].combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)[order]
+        links = [] if not same and left == len(sets) else merged_links(sets, sig, comp, left, same, least, percent)
         x, y = (pa.array(order[np.array([p[c] for p in links], dtype=np.int64)]) for c in (0, 1))
         return pa.table({"a": t["node"].take(x), "b": t["node"].take(y)})
 
@@ -241,23 +291,25 @@ def near_groups(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> D
     comp = lists.select("node", F.col("node").alias("comp"))
     tested = None
     for turn in range(ROUNDS + 1):
-        at = prefix.join(comp, "node")
-        mixed = at.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("lead"), F.max("comp").alias("high"), F.count("*").alias("length"))
-        at = at.join(mixed.where("lead.comp < high").select("key", "lead", "length"), "key")
+        at = prefix.join(comp, "node") if turn else prefix.withColumn("comp", F.col("node"))
+        at = at.join(_mixed(at), "key")
         if turn < ROUNDS:
             pairs = at.where("comp != lead.comp").groupBy(F.col("node").alias("b")).agg(F.min("lead.node").alias("a"))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
             at = materialize(at.drop("lead"), "lists")
-            short = at.where(F.col("length") <= LONG)
-            other = short.select("key", F.col("node").alias("b"), F.col("comp").alias("other"))
-            pairs = short.select("key", F.col("node").alias("a"), "comp").join(other, "key").where("comp < other").select("a", "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            long = at.where(F.col("length") > LONG)
+            again = _set_lists(long, nodes, percent)
+            again = materialize(again.join(_mixed(again), "key").drop("lead"), "lists")
+            pairs = _short_pairs(at).unionByName(_short_pairs(again)).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         links = _links(pairs, nodes, t, percent)
         if turn == ROUNDS:
-            links = links.unionByName(_cluster_links(at.where(F.col("length") > LONG), nodes, percent))
+            long = again.where(F.col("length") > LONG)
+            if not long.isEmpty():
+                links = links.unionByName(_cluster_links(long, nodes, t, percent))
         comp = _merged(comp, materialize(links, "confirmed"))
         tested = pairs if tested is None else tested.unionByName(pairs)
     of_set = sets.select("s1", "s2", "node").join(comp, "node", "left").select("s1", "s2", F.coalesce("comp", "node").alias("root"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from sarweave.llm import minhash
@@ -65,3 +66,57 @@ def test_long_path(spark):
 
 def test_least_matches():
     assert least_matches(0.85) > least_matches(0.8) > 25
+
+
+def family(n, own, seed=4):
+    """Texts around one boilerplate, of whose words each replaces a share by own ones."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10**6)}" for _ in range(100)]
+    out = []
+    for i in range(n):
+        ws = list(base)
+        for k in r.sample(range(100), own):
+            ws[k] = f"x{i}_{k}"
+        out.append((i, " ".join(ws)))
+    return out
+
+
+def test_work_of_a_family_grows_in_proportion(spark, monkeypatch):
+    """Texts that share long lists but no link: the rows written for them double with their number."""
+    written = {}
+    plain = minhash.materialize
+
+    def counted(df, label):
+        out = plain(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    totals = []
+    for n in (200, 400):
+        written.clear()
+        data = family(n, 7)
+        out = near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 85)
+        assert rows(out) == sorted(brute.op8(data, 85), key=repr)
+        assert not written.get("clusters")
+        totals.append(sum(written.values()))
+    assert totals[1] < 2.3 * totals[0], totals
+
+
+def test_recall_of_the_signatures():
+    """Share of pairs a little above the threshold that have the matches asked for."""
+    r = random.Random(2)
+    found = total = 0
+    t = least_matches(0.85)
+    for i in range(400):
+        a = [f"w{r.randrange(10**6)}" for _ in range(200)]
+        b = list(a)
+        for k in r.sample(range(200), 3):
+            b[k] = f"y{i}_{k}"
+        x, y = brute.shingles(" ".join(a)), brute.shingles(" ".join(b))
+        if 0.85 <= len(x & y) / len(x | y) <= 0.9:
+            sets = [minhash.shingle_sets(np.frombuffer(s.encode(), np.uint8), np.array([0, len(s.encode())]))[0] for s in (" ".join(a), " ".join(b))]
+            sig = minhash.signatures(sets)
+            total += 1
+            found += (sig[0] == sig[1]).sum() >= t
+    assert total > 200 and found / total >= 0.99
