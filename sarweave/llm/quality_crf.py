@@ -1,10 +1,14 @@
 """Quality classifier: a linear-chain conditional random field over the lines of a document.
 
 Every line that has a word gets features of its characters and words and those of its neighbours. The
-field labels each line bad (0) or good (1); in training all lines of a document carry its label. The
+field labels each line bad (0) or good (1). Only documents have labels, so that the lines' labels are latent: training
+starts from lines labelled like their document and judged by their own features alone, then takes turns. Given the field, each document's lines
+get the marginals nearest to the field's own whose mean, weighted by bytes, suits its label (at least GOOD_SHARE good in
+a good document, at most BAD_SHARE in a bad one; a document that suits already is left as the field sees it); given these,
+the field is fitted to them, transitions included. So a bad document may have good lines. The
 score of a document is the mean of its lines' forward-backward marginals for good, weighted by the
-lines' bytes. Training takes at most SAMPLE labelled documents, those least by hash, and
-only their features go to the driver; scoring runs over all documents.
+lines' bytes. Training takes at most SAMPLE labelled documents, those least by hash, one row of each (the least text)
+and a run of at most TRAIN_LINES lines of it; only their features go to the driver. Scoring runs over all documents and lines.
 
 A null or empty text, or one without words, has no lines and the score 0. If no labelled document is
 given, or only one label, the score is the share of label 1 (or 0.5). Rows with equal texts get equal scores.
@@ -25,7 +29,15 @@ from sarweave.session import text_batches
 
 #: Labelled documents to train on, at most.
 SAMPLE = 2000
+#: Lines of a labelled document to train on, at most: a run that begins at a place by hash.
+TRAIN_LINES = 512
 STEPS = 200
+#: Turns of labelling lines and fitting, and steps of each.
+TURNS = 6
+TURN_STEPS = 40
+#: Least share of good lines, by bytes, in a good document, and the greatest in a bad one.
+GOOD_SHARE = 0.97
+BAD_SHARE = 0.4
 RIDGE = 1e-4
 THRESHOLD = 0.7
 
@@ -127,24 +139,59 @@ def marginals(emit: np.ndarray, trans: np.ndarray, bounds: np.ndarray) -> tuple[
     return both[:, 1], pairs, float(np.log(scale).sum() + top.sum() + many * trans.max())
 
 
-def fit(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the features for good, and 2 x 2 transition scores, by Adam on the likelihood."""
+def _ascend(x: np.ndarray, bounds: np.ndarray, q: np.ndarray, pairs: np.ndarray, w: np.ndarray, steps: int, only: slice = slice(None)) -> None:
+    """Adam on the expected likelihood, in place: q are the lines' chances to be good, pairs the counts of transitions. Only some weights move."""
+    free = np.zeros(len(w))
+    free[only] = 1
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for i in range(1, steps + 1):
+        p, own, _ = marginals(x @ w[:-4], w[-4:].reshape(2, 2), bounds)
+        g = np.append(x.T @ (q - p), (pairs - own).ravel()) / len(q) - RIDGE * w
+        g *= free
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w += 0.3 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)
+
+
+def line_labels(emit: np.ndarray, trans: np.ndarray, bounds: np.ndarray, size: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chances of the lines to be good, given their documents' labels, and the expected counts of transitions.
+
+    All lines of a document get the one shift of their potentials, found by halving, that makes the mean suit.
+    """
+    n = np.diff(bounds)
+    of = np.repeat(np.arange(len(n)), n)
+    whole = np.maximum(np.bincount(of, size, len(n)), 1)
+    share = lambda p: np.bincount(of, p * size, len(n)) / whole
+    p, pairs, _ = marginals(emit, trans, bounds)
+    wrong = (n > 0) & np.where(label == 1, share(p) < GOOD_SHARE, share(p) > BAD_SHARE)
+    if not wrong.any():
+        return p, pairs
+    low, high = np.where(label == 1, 0.0, -40.0), np.where(label == 1, 40.0, 0.0)
+    aim = np.where(label == 1, GOOD_SHARE, BAD_SHARE)
+    for _ in range(14):
+        mid = (low + high) / 2
+        got = share(marginals(emit + np.where(wrong, mid, 0.0)[of], trans, bounds)[0])
+        low, high = np.where(got < aim, mid, low), np.where(got < aim, high, mid)
+    p, pairs, _ = marginals(emit + np.where(wrong, (low + high) / 2, 0.0)[of], trans, bounds)
+    return p, pairs
+
+
+def fit(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, size: np.ndarray | None = None, steps: int = STEPS, turns: int = TURNS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the features for good, and 2 x 2 transition scores. y: of each line, its document's label."""
     w = np.zeros(x.shape[1] + 4)
     if not len(y) or y.min() == y.max():
         if len(y):
             w[0] = 3.0 if y[0] else -3.0
         return w[:-4], w[-4:].reshape(2, 2)
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    inside = np.ones(len(y), dtype=bool)
-    inside[bounds[:-1][np.diff(bounds) > 0]] = False
-    at = np.flatnonzero(inside)
-    seen = np.bincount(2 * y[at - 1] + y[at], minlength=4)
     x64 = x.astype(np.float64)
-    for i in range(1, steps + 1):
-        p, pairs, _ = marginals(x64 @ w[:-4], w[-4:].reshape(2, 2), bounds)
-        g = np.append(x64.T @ (y - p), seen - pairs.ravel()) / len(y) - RIDGE * w
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w += 0.3 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)
+    # At first by a line's own features: neighbours would tell the document, not the line.
+    _ascend(x64, bounds, y.astype(np.float64), np.zeros((2, 2)), w, steps, slice(0, min(N_OWN, x.shape[1])))
+    size = np.ones(len(y)) if size is None else size
+    label = np.zeros(len(bounds) - 1, dtype=np.int64)
+    some = np.diff(bounds) > 0
+    label[some] = y[bounds[:-1][some]]
+    for _ in range(turns):
+        q, pairs = line_labels(x64 @ w[:-4], w[-4:].reshape(2, 2), bounds, size, label)
+        _ascend(x64, bounds, q, pairs, w, TURN_STEPS)
     return w[:-4], w[-4:].reshape(2, 2)
 
 
@@ -153,28 +200,43 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def one_text_each(docs: DataFrame, some: DataFrame, label: str) -> DataFrame:
+    """doc_id, text and label of the labelled documents some: of a doc_id that many rows have, the least text.
+
+    some is broadcast: its rows are bounded by the sample that is asked for.
+    """
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    return rows.groupBy("doc_id", label).agg(F.min("text").alias("text")).select("doc_id", "text", label)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """The field, from at most sample documents whose label is not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     some = known.orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(sample)
-    taken = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", "quality")
+    taken = one_text_each(docs, some, "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = K.text_bytes(b.column(1))
+            place = b.column(3).to_numpy()
             for i, j in K.pieces(offsets):
-                x, _, bounds = line_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                each = [x[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(each, pa.binary())], names=["doc_id", "quality", "x"])
-
-    got = taken.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, x binary").toArrow()
+                x, size, bounds = line_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                n = np.diff(bounds)
+                lo = bounds[:-1] + place[i:j] % np.maximum(n - TRAIN_LINES + 1, 1)
+                each = [(x[a : a + c].tobytes(), size[a : a + c].astype(np.float32).tobytes()) for a, c in zip(lo.tolist(), np.minimum(n, TRAIN_LINES).tolist(), strict=True)]
+                xs, sizes = (pa.array([e[k] for e in each], pa.binary()) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), xs, sizes], names=["doc_id", "quality", "x", "size"])
+
+    placed = taken.select("doc_id", "text", "quality", F.pmod(F.xxhash64(F.lit(90), "doc_id"), F.lit(1 << 31)).alias("place"))
+    got = placed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, x binary, size binary").toArrow()
     got = got.sort_by("doc_id")
     parts = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in got["x"].to_pylist()]
     x = np.concatenate(parts) if parts else np.zeros((0, N_FEATURES), np.float32)
+    size = np.concatenate([np.frombuffer(b, np.float32) for b in got["size"].to_pylist()]).astype(np.float64) if parts else np.zeros(0)
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     y = np.repeat(got["quality"].to_numpy().astype(np.int64), sizes)
-    return fit(x, y, np.concatenate(([0], np.cumsum(sizes))))
+    return fit(x, y, np.concatenate(([0], np.cumsum(sizes))), size)
 
 
 def text_scores(data: np.ndarray, offsets: np.ndarray, w: np.ndarray, trans: np.ndarray) -> np.ndarray:
