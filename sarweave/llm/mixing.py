@@ -9,7 +9,13 @@ every rate towards 1:
 
 by accelerated projected gradient. All rates start at 1 and their gradient depends on the posterior and the
 domains' residuals only, so that a step needs one distributed sum of K numbers, and the state
-of the fit is the list of past residuals.
+of the fit is the list of past residuals. The pull leaves the totals off; when the steps have nearly settled,
+the aims are moved by what is missing (the method of multipliers), and the steps go on, until the totals match: the
+rates then are those nearest to 1 that match.
+
+The domain of the greatest share sets the total by its own tokens. A domain with less than its share is repeated, with
+rates above 1; where that is not wanted (repeat=False, as in the pipeline, which has just removed copies), it is asked for
+what it has, and domain_totals() gives the shortfall against the targets.
 
 A null or empty text has no tokens; its posterior is that of a text without features and its rate is
 given like any other's. Rows with equal texts get equal rates; repeated rows count each time. Without labels all
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sarweave.llm import kernels as K
-from sarweave.llm.quality_crf import N_OWN, line_features
+from sarweave.llm.quality_crf import N_OWN, line_features, one_text_each
 from sarweave.session import materialize, text_batches
 
 DOMAINS = ("clean", "toxic", "junk")
@@ -36,10 +42,13 @@ TARGETS = {"clean": 0.98, "toxic": 0.01, "junk": 0.01}
 #: Labelled documents to train on, at most.
 SAMPLE = 6000
 BUCKETS = 1 << 14
-RIDGE = 1e-2
+RIDGE = 3e-2
 STEPS = 60
-#: The fit ends when no domain is further from its stationary value, as a share of its tokens.
-TOLERANCE = 1e-5
+#: The aims move when a step changes no total by more than this share of what is missing; the fit ends when each total is
+#: this near to its target, and steps change none by more than SETTLED of the domain's tokens.
+MOVE = 0.2
+NEAR = 0.005
+SETTLED = 1e-3
 
 
 def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     known = known.groupBy("doc_id").agg(F.min(F.struct("quality", "toxic")).alias("l"))
     domain = F.when(F.col("l.toxic") == 1, 1).when(F.col("l.quality") == 1, 0).otherwise(2)
     some = known.select("doc_id", domain.alias("domain")).orderBy(F.xxhash64(F.lit(10), "doc_id"), "doc_id").limit(sample)
-    taken = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "domain", "text")
+    taken = one_text_each(docs, some, "domain").select("doc_id", "domain", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,21 +152,23 @@ def replay(p: np.ndarray, residuals: np.ndarray, ridge: float) -> tuple[np.ndarr
     return r, y
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows with tokens and posterior: the residuals of all steps, the domains' tokens, and the targets.
+def target_tokens(own: np.ndarray, targets: dict[str, float], repeat: bool = True) -> np.ndarray:
+    """Tokens that the domains are asked for, of which they have own."""
+    share = np.array([targets[d] for d in DOMAINS], dtype=float)
+    share = share / share.sum()
+    lead = int(share.argmax())
+    want = share * own[lead] / share[lead]
+    return want if repeat else np.minimum(own, want)
+
 
-    The domain of the greatest share sets the total by its own tokens; others are asked for their share of it, or
-    for all that they have where that is less, so that nothing scarce has to be repeated.
-    """
+def fit_rates(members: DataFrame, targets: dict[str, float], repeat: bool = True, ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows with tokens and posterior: the residuals of all steps, the domains' tokens, and the targets."""
     k = len(DOMAINS)
     own = members.agg(*(F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[c]), F.lit(0.0)) for c in range(k))).first()
     own = np.array(own, dtype=float)
-    share = np.array([targets[d] for d in DOMAINS], dtype=float)
-    share = share / share.sum()
-    lead = int(share.argmax())
-    want = np.minimum(own, share * own[lead] / share[lead])
+    want = target_tokens(own, targets, repeat)
     scale = np.maximum(np.maximum(own, want), 1.0)
-    past = np.zeros((0, k))
+    past, aim, before = np.zeros((0, k)), want.copy(), np.full(k, np.inf)
     for _ in range(steps):
 
         def run(batches: Iterator[pa.RecordBatch], past=past) -> Iterator[pa.RecordBatch]:
@@ -169,20 +180,23 @@ def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = RIDG
 
         parts = members.select("tokens", "posterior").mapInArrow(run, ", ".join(f"s{c} double" for c in range(k)))
         sums = np.array(parts.agg(*(F.coalesce(F.sum(f"s{c}"), F.lit(0.0)) for c in range(k))).first(), dtype=float)
-        past = np.vstack((past, (sums - want) / scale))
-        if len(past) > 2 and np.abs(past[-1] - past[-2]).max() < TOLERANCE and np.abs(past[-2] - past[-3]).max() < TOLERANCE:
+        gap, change = want - sums, np.abs(sums - before) / scale
+        if len(past) > 2 and (np.abs(gap) <= NEAR * np.maximum(want, 1.0)).all() and change.max() < SETTLED:
             break
+        if change.max() < MOVE * (np.abs(gap) / scale).max():
+            aim = aim + gap
+        before, past = sums, np.vstack((past, (sums - aim) / scale))
     return past, own, want
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = SAMPLE, seed: int = 10) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = SAMPLE, seed: int = 10, repeat: bool = True) -> DataFrame:
     """docs with tokens, posterior, rate and copies.
 
     copies is the whole part of the rate, plus one with the chance of its fraction (by a seeded hash of doc_id and text).
     """
     names = [c for c in docs.columns if c not in ("tokens", "posterior", "rate", "copies")]
     members = materialize(posteriors(docs.select(*names), train(docs, labels, sample)), "posteriors")
-    past, _, _ = fit_rates(members, targets or TARGETS)
+    past, _, _ = fit_rates(members, targets or TARGETS, repeat)
     schema = T.StructType([*members.schema.fields, T.StructField("rate", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,3 +207,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     rated = members.mapInArrow(run, schema)
     chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(float(1 << 53))).cast("double")
     return rated.withColumn("copies", F.floor("rate").cast("int") + (chance < F.col("rate") - F.floor("rate")).cast("int"))
+
+
+def domain_totals(mixed: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """Of mix()'s rows: for each domain its own expected tokens, those of the target, those at the fitted rates, and the shortfall."""
+    sums = [F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[c] * r), F.lit(0.0)) for r in (F.lit(1.0), F.col("rate")) for c in range(len(DOMAINS))]
+    got = np.array(mixed.agg(*(x.alias(f"s{i}") for i, x in enumerate(sums))).first(), dtype=float).reshape(2, -1)
+    want = target_tokens(got[0], targets or TARGETS)
+    rows = [(d, *map(float, x)) for d, *x in zip(DOMAINS, got[0], want, got[1], want - got[1], strict=True)]
+    return mixed.sparkSession.createDataFrame(rows, "domain string, own_tokens double, target_tokens double, fitted_tokens double, shortfall double")
