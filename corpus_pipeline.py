@@ -42,8 +42,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says."""
-    mixed = lambda d: mixing.mix(d, _table(spark, sf_dir, "labels")).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    """Each document as often as its rate says; a scarce domain is not repeated to reach its target, since copies have just gone."""
+    mixed = lambda d: mixing.mix(d, _table(spark, sf_dir, "labels"), repeat=False).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     return _with_own_names(docs, mixed)
 
 
