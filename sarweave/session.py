@@ -67,6 +67,32 @@ def clear_scratch(spark: SparkSession) -> None:
     _delete(spark, _scratch(spark))
 
 
+class Scratch:
+    """The tables that materialize() makes inside a with block; those not kept are removed at its end."""
+
+    _open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, [], []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """A table that materialize() gave; a block around this one may still remove it."""
+        self.kept.append(df._sarweave_path)
+        return df
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        Scratch._open.remove(self)
+        for path in self.paths:
+            if path not in self.kept:
+                _delete(self.spark, path)
+            elif Scratch._open:
+                Scratch._open[-1].paths.append(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet below the shared folder and read it back.
 
@@ -74,8 +100,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    if Scratch._open:
+        Scratch._open[-1].paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._sarweave_path = path
+    return out
 
 
 def drop_materialized(df: DataFrame) -> None:
