@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from sarweave.llm import kernels as K
 from sarweave.llm.components import components
 from sarweave.llm.winnow import LAST, ranked
-from sarweave.session import materialize
+from sarweave.session import Scratch, materialize
 
 SHINGLE = 5
 COORDINATES = 64
@@ -273,7 +273,15 @@ def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
-    """Of each document doc_id, rank, th, n (size of its set) and root, the least (rank, th) that it reaches (null where n is 0)."""
+    """Of each document doc_id, rank, th, n (size of its set) and root, the least (rank, th) that it reaches (null where n is 0).
+
+    Only this table stays in the scratch folder.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(materialize(_near_groups(docs, percent, shingle), "groups"))
+
+
+def _near_groups(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     t = least_matches(percent / 100)
     docs = ranked(docs)
     signed = materialize(sign(docs, shingle), "signatures")
