@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sarweave.llm import decontaminate, minhash, mixing, quality_crf, sharding
-from sarweave.session import materialize
+from sarweave.session import Scratch, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,5 +66,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        # What a stage wrote on its way is not needed once its rows are written.
+        with Scratch(spark) as scratch:
+            docs = scratch.keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-").lower()))
     return STAGES[-1][1](spark, docs, sf_dir)
