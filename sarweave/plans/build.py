@@ -16,6 +16,7 @@ from sarweave.functions import radiometry as R
 from sarweave.functions import scalars as S
 from sarweave.operators import aggregates, features, geo, joins, raster, sampling, splits
 from sarweave.plans import qa
+from sarweave.session import exists
 from sarweave.sources import corridors, files, sinks
 
 STAGES = ("scenes", "lines", "instances", "places", "crops", "tiles", "rows", "splits", "findings")
@@ -28,12 +29,13 @@ def scan(spark: SparkSession, root: str, c: Config) -> DataFrame:
 def band_lines(spark: SparkSession, root: str, scenes: DataFrame) -> DataFrame:
     """Lines (scene_id, kind, y, v) of masks and of bands as they are stored."""
     stacked = (F.size("band_files") == 1) & (F.size("pol_tags") > 1)
-    bands = scenes.select("scene_id", "band_files", stacked.alias("stacked"), F.posexplode("pol_tags").alias("i", "kind")).where(F.col("kind").isin("VV", "VH"))
+    bands = scenes.select("scene_id", "band_files", stacked.alias("stacked"), F.posexplode("pol_tags").alias("i", "kind"))
     bands = bands.select("scene_id", "kind", F.when(F.col("stacked"), F.col("band_files")[0]).otherwise(F.get("band_files", F.col("i"))).alias("rel"), F.when(F.col("stacked"), F.col("i")).otherwise(0).alias("band"))
     masks = scenes.where("mask_path IS NOT NULL").select("scene_id", F.lit("mask").alias("kind"), F.col("mask_path").alias("rel"), F.lit(0).alias("band"))
     wanted = bands.unionByName(masks)
-    parts = [files.read_lines(spark, root, wanted.where(F.col("band") == b), b).withColumn("band", F.lit(b)) for b in (0, 1)]
-    return parts[0].unionByName(parts[1]).join(wanted, ["rel", "band"]).select("scene_id", "kind", "y", "v")
+    lines, w = files.read_bands(spark, root).alias("l"), wanted.alias("w")
+    same = (F.col("l.rel") == F.col("w.rel")) & (F.coalesce("l.band", "w.band") == F.col("w.band"))
+    return files.sound(lines.join(w, same).select("scene_id", "kind", "y", "v", "error"))
 
 
 def decibels(lines: DataFrame, scenes: DataFrame, c: Config) -> DataFrame:
@@ -49,17 +51,17 @@ def decibels(lines: DataFrame, scenes: DataFrame, c: Config) -> DataFrame:
 
 
 def locate(spark: SparkSession, scenes: DataFrame, c: Config) -> DataFrame:
-    """scene_id, frame (origin and degrees per pixel), whether it is synthetic, corridor, offset and time of each scene."""
+    """scene_id, frame (origin and degrees per pixel), whether it is synthetic, corridor, offset and time of each scene: the file's own, or else a synthetic one."""
     real = G.is_georeferenced(F.col("crs"), F.col("transform")) & (F.col("crs") == "EPSG:4326")
     own = F.struct(F.col("transform")[5].alias("lat0"), F.col("transform")[2].alias("lon0"), (-F.col("transform")[4]).alias("dlat"), F.col("transform")[0].alias("dlon"))
     made = geo.synthetic_locations(scenes.select("scene_id"), "scene_id", corridors.corridors(spark), c.offset_scale_km, c.seed)
-    s = scenes.select("scene_id", "width", "height", F.coalesce(real, F.lit(False)).alias("real"), own.alias("own")).join(made, "scene_id")
+    s = scenes.select("scene_id", "width", "height", "time", F.coalesce(real, F.lit(False)).alias("real"), own.alias("own")).join(made, "scene_id")
     frame = G.frame(F.col("lat"), F.col("lon"), F.col("width"), F.col("height"), c.pixel_m)
     off = S.seed_of(F.concat(F.lit("ts|"), "scene_id")) % 315619199
     return s.select(
         "scene_id", F.when(F.col("real"), F.col("own")).otherwise(frame).alias("frame"), (~F.col("real")).alias("is_synthetic_location"),
         F.when(~F.col("real"), F.col("corridor")).alias("source_corridor_id"), F.when(~F.col("real"), F.round("offset_km", 6)).alias("offset_km"),
-        F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit("2016-01-01 00:00:00").cast("timestamp")) + off), S.ISO).alias("timestamp_utc"),
+        F.col("time").isNull().alias("is_synthetic_timestamp"), F.coalesce("time", F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit("2016-01-01 00:00:00").cast("timestamp")) + off), S.ISO)).alias("timestamp_utc"),
     )
 
 
@@ -130,7 +132,7 @@ def crop_rows(crops: DataFrame, scenes: DataFrame, places: DataFrame, instances:
         "image_id": F.col("crop_id"), "dataset_source": F.element_at(F.split("rel_folder", "/"), 1), "width": F.lit(c.tile), "height": F.lit(c.tile),
         "has_real_geo": ~F.col("is_synthetic_location"), "lat": mid("lat"), "lon": mid("lon"), "timestamp_utc": F.col("timestamp_utc"),
         "source_corridor_id": F.col("source_corridor_id"), "offset_km": F.col("offset_km"), "crop_xoff": F.col("xoff"), "crop_yoff": F.col("yoff"),
-        "crop_size": F.lit(c.tile), "source_scene_relpath": F.col("band_files")[0], "is_synthetic_timestamp": F.lit(True), "rel_folder": F.col("rel_folder"),
+        "crop_size": F.lit(c.tile), "source_scene_relpath": F.col("band_files")[0], "is_synthetic_timestamp": F.col("is_synthetic_timestamp"), "rel_folder": F.col("rel_folder"),
     }
     return t.select(*(v.alias(k) for k, v in out.items()))
 
@@ -153,18 +155,15 @@ def check(rows: DataFrame, manifest: DataFrame, tiles: DataFrame) -> DataFrame:
 
 
 def build(spark: SparkSession, root: str, dest: str, c: Config = DEFAULT, fresh: bool = True, upto: str = STAGES[-1]) -> dict[str, DataFrame]:
-    """Run the stages up to one; the tables by name. With fresh False finished stages are taken as they are."""
+    """Run the stages up to one; the tables by name. With fresh False finished stages are taken as they are; one that was stopped on its way is run again."""
     done: dict[str, DataFrame] = {}
 
     def stage(name: str, make) -> bool:
         path = f"{dest}/state/{name}"
         if not fresh:
-            try:
+            if exists(spark, f"{path}/_SUCCESS"):
                 done[name] = spark.read.parquet(path)
                 return name != upto
-            except Exception as e:
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
         make().write.mode("overwrite").parquet(path)
         done[name] = spark.read.parquet(path)
         return name != upto

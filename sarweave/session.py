@@ -62,6 +62,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at path, in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all tables that materialize() made for this application; results that still read them are lost."""
     _delete(spark, _scratch(spark))

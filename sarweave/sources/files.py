@@ -26,7 +26,7 @@ def _binary(spark: SparkSession, root: str, pattern: str | None = None) -> DataF
 def _relative(root: str) -> Column:
     """Path below root, whatever the store's scheme puts before it."""
     tail = root.rstrip("/").split("://")[-1].lstrip("/")
-    return F.element_at(F.split(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), tail.replace(".", r"\.") + "/", 2), -1)
+    return F.element_at(F.split(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), rf"\Q{tail}\E/", 2), -1)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -39,7 +39,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 HEADER = T.StructType(
     [T.StructField(n, T.IntegerType()) for n in ("width", "height", "count")]
     + [T.StructField(n, T.StringType()) for n in ("dtype", "crs")]
-    + [T.StructField("transform", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]
+    + [T.StructField("transform", T.ArrayType(T.DoubleType())), T.StructField("time", T.StringType()), T.StructField("error", T.StringType())]
 )
 
 
@@ -68,7 +68,7 @@ def scenes(probed: DataFrame, c: Config = DEFAULT) -> DataFrame:
     images_ = files.where("NOT is_mask").select("folder", N.without_polarisation(F.col("stem")).alias("base"), N.polarisation(F.col("stem")).alias("pol"), r.alias("path"))
     paired = joins.pair_polarisations(images_)
     first = F.element_at("band_files", 1)
-    head = files.select(F.col("rel").alias("first"), "width", "height", "count", "dtype", "crs", "transform")
+    head = files.select(F.col("rel").alias("first"), "width", "height", "count", "dtype", "crs", "transform", "time")
     s = paired.withColumn("first", first).join(head, "first")
     tags = F.when((F.col("count") >= 2) & (F.size("band_files") == 1), F.concat(F.array(F.lit("VV"), F.lit("VH")), F.transform(F.filter(F.sequence(F.lit(1), F.col("count")), lambda i: i >= 3), lambda i: F.concat(F.lit("B"), i.cast("string"))))).otherwise(F.col("pol_tags"))
     s = s.withColumn("pol_tags", tags).withColumn("key", F.lower(N.without_mask_tokens(F.col("base"))))
@@ -77,24 +77,47 @@ def scenes(probed: DataFrame, c: Config = DEFAULT) -> DataFrame:
     times = s.groupBy("base").agg(F.count("*").alias("_times"))
     s = s.join(times, "base").withColumn("scene_id", N.scene_id(F.col("base"), F.col("folder"), F.col("_times")))
     return s.select(
-        "scene_id", F.col("folder").alias("rel_folder"), "band_files", "pol_tags", F.col("mask").alias("mask_path"), "width", "height", "dtype", "crs", "transform",
+        "scene_id", F.col("folder").alias("rel_folder"), "band_files", "pol_tags", F.col("mask").alias("mask_path"), "width", "height", "dtype", "crs", "transform", "time",
         (F.size("pol_tags") >= 2).alias("has_dual_pol"), N.default_label(F.col("first"), c).alias("default_label"), N.is_calibrated(F.col("first"), F.col("dtype"), c).alias("is_calibrated"),
     )
 
 
-LINES = "rel string, y int, v array<float>"
+LINES = "rel string, band int, y int, v array<float>, error string"
+#: Names that a semi-join may broadcast: some 20 MB.
+MAX_RELS = 100_000
 
 
-def read_lines(spark: SparkSession, root: str, rels: DataFrame | None = None, band: int = 0) -> DataFrame:
-    """Rasters as lines (rel, y, v). rels narrows them to some files before any content is read."""
+def read_bands(spark: SparkSession, root: str, rels: DataFrame | None = None) -> DataFrame:
+    """All bands of rasters as lines (rel, band, y, v, error); a file that can't be decoded is one row with its error.
+
+    Each content is read once, by the task that decodes it, and is never shuffled. rels narrows the files: up to
+    MAX_RELS names before contents are handed to Python, more of them by their lines.
+    """
     f = _binary(spark, root, f"*.{ANY_CASE}").select(_relative(root).alias("rel"), "content")
+    few = False
     if rels is not None:
-        f = f.join(rels.select("rel").distinct(), "rel", "left_semi")
+        rels = rels.select("rel").distinct()
+        few = rels.limit(MAX_RELS + 1).count() <= MAX_RELS
+        f = f.join(F.broadcast(rels), "rel", "left_semi") if few else f
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for rel, content in zip(b["rel"], b["content"], strict=True):
-                a = images.decode(content, band).astype(np.float32)
-                yield pd.DataFrame({"rel": rel, "y": np.arange(len(a), dtype=np.int32), "v": list(a)})
+                try:
+                    for band, a in enumerate(images.decode_bands(content)):
+                        yield pd.DataFrame({"rel": rel, "band": band, "y": np.arange(len(a), dtype=np.int32), "v": list(a.astype(np.float32)), "error": None})
+                except Exception as e:  # told where the file is wanted
+                    yield pd.DataFrame({"rel": [rel], "band": [None], "y": [None], "v": [None], "error": [f"{rel}: {type(e).__name__}: {e}"[:300]]})
+
+    lines = f.mapInPandas(run, LINES)
+    return lines if rels is None or few else lines.join(rels, "rel", "left_semi")
+
 
-    return f.mapInPandas(run, LINES)
+def sound(lines: DataFrame) -> DataFrame:
+    """lines without error; a row that has one ends the query with it. In the projection, as a filter could move below a join."""
+    return lines.withColumn("v", F.when(F.col("error").isNull(), F.col("v")).otherwise(F.raise_error(F.col("error")).cast("array<float>"))).drop("error")
+
+
+def read_lines(spark: SparkSession, root: str, rels: DataFrame | None = None, band: int = 0) -> DataFrame:
+    """One band of rasters as lines (rel, y, v)."""
+    return sound(read_bands(spark, root, rels).where(F.coalesce("band", F.lit(band)) == band)).drop("band")

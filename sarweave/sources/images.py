@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import struct
 import zlib
+from datetime import datetime
+from xml.etree import ElementTree
 
 import numpy as np
 
@@ -35,7 +37,7 @@ def _png_chunks(data: bytes):
         at += 12 + n
 
 
-def _decode_png(data: bytes) -> np.ndarray:
+def _decode_png(data: bytes, bands: list[int]) -> np.ndarray:
     parts = list(_png_chunks(data))
     w, h, depth, color, _, _, interlaced = struct.unpack(">IIBBBBB", dict(parts)[b"IHDR"])
     if color not in (0, 2, 4, 6) or interlaced or depth not in (8, 16):
@@ -63,21 +65,26 @@ def _decode_png(data: bytes) -> np.ndarray:
                 line[x] = (line[x] + guess) & 255
         out[y], before = line, line
     a = out.view(">u2").astype(np.uint16) if depth == 16 else out
-    return a.reshape(h, w, n)[..., 0]
+    return a.reshape(h, w, n)[..., bands]
 
 
 def _tiff_fields(data: bytes) -> dict[int, tuple]:
+    """The first directory of a TIFF or BigTIFF: values by tag, the byte order under 0."""
     order = {b"II": "<", b"MM": ">"}[data[:2]]
-    at = struct.unpack(order + "I", data[4:8])[0]
+    big = struct.unpack(order + "H", data[2:4])[0] == 43
+    word, few, wide = ("Q", "Q", 8) if big else ("I", "H", 4)
+    at = struct.unpack(order + word, data[8:16] if big else data[4:8])[0]
+    first, step = at + struct.calcsize(order + few), 4 + 2 * wide
     out: dict = {0: (order,)}
-    for i in range(struct.unpack(order + "H", data[at : at + 2])[0]):
-        tag, kind, n = struct.unpack(order + "HHI", data[at + 2 + 12 * i : at + 10 + 12 * i])
+    for i in range(struct.unpack(order + few, data[at:first])[0]):
+        entry = first + step * i
+        tag, kind, n = struct.unpack(order + "HH" + word, data[entry : entry + 4 + wide])
         if kind not in FIELD:
             continue
         size, letter = FIELD[kind]
-        spot = at + 10 + 12 * i
-        if size * n > 4:
-            spot = struct.unpack(order + "I", data[spot : spot + 4])[0]
+        spot = entry + 4 + wide
+        if size * n > wide:
+            spot = struct.unpack(order + word, data[spot : spot + wide])[0]
         value = data[spot : spot + size * n]
         out[tag] = (value.rstrip(b"\0"),) if letter == "s" else struct.unpack(order + letter * n, value)
     return out
@@ -88,24 +95,98 @@ def _tiff_dtype(f: dict) -> np.dtype:
     return np.dtype(f"{f[0][0]}{kind}{f[258][0] // 8}")
 
 
-def _decode_tiff(data: bytes, band: int) -> np.ndarray:
+def _inflate_lzw(data: bytes) -> bytes:
+    """LZW as TIFF has it: codes from the high bit on, 9 to 12 bits wide, the width growing one code early."""
+    clear, end = 256, 257
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, before = list(first), 9, b""
+    out, held, bits = [], 0, 0
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & ((1 << width) - 1)
+        if code == end:
+            break
+        if code == clear:
+            table, width, before = list(first), 9, b""
+            continue
+        word = table[code] if code < len(table) else before + before[:1]
+        if before:
+            table.append(before + word[:1])
+        out.append(word)
+        before = word
+        width = min(12, (len(table) + 1).bit_length())
+    return b"".join(out)
+
+
+UNPACK = {1: bytes, 5: _inflate_lzw, 8: zlib.decompress, 32946: zlib.decompress}
+
+
+def _unpredict(raw: bytes, shape: tuple[int, int, int], dtype: np.dtype, how: int) -> np.ndarray:
+    """A block of (rows, columns, samples) from its bytes, with differences to the left sample summed up again."""
+    if how == 3:  # bytes of each row by significance, highest first, differenced
+        rows, columns, n = shape
+        planes = np.frombuffer(raw, np.uint8)[: rows * columns * n * dtype.itemsize].reshape(rows, columns * dtype.itemsize, n)
+        planes = np.cumsum(planes, axis=1, dtype=np.uint8).reshape(rows, dtype.itemsize, columns * n)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(dtype.newbyteorder(">")).reshape(shape)
+    a = np.frombuffer(raw, dtype, int(np.prod(shape))).reshape(shape)
+    return np.cumsum(a, axis=1, dtype=dtype.newbyteorder("=")) if how == 2 else a
+
+
+def _decode_tiff(data: bytes, bands: list[int]) -> np.ndarray:
+    """Bands of a striped or tiled file; only their blocks are unpacked where bands lie apart."""
     f = _tiff_fields(data)
-    if f.get(259, (1,))[0] not in (1, 8, 32946):
-        raise ValueError("only plain and deflated TIFFs are read")
-    w, h, n = f[256][0], f[257][0], f.get(277, (1,))[0]
-    blocks = [data[a : a + c] for a, c in zip(f[273], f[279], strict=True)]
-    if f.get(259, (1,))[0] != 1:
-        blocks = [zlib.decompress(b) for b in blocks]
-    a = np.frombuffer(b"".join(blocks), _tiff_dtype(f))
-    a = a.reshape(n, h, w)[band] if f.get(284, (1,))[0] == 2 else a.reshape(h, w, n)[..., band]
-    return a.astype(a.dtype.newbyteorder("="))
+    unpack = UNPACK.get(f.get(259, (1,))[0])
+    if unpack is None:
+        raise ValueError(f"TIFF compression {f[259][0]} is not read (known: none, LZW, deflate)")
+    w, h, n, dtype, how = f[256][0], f[257][0], f.get(277, (1,))[0], _tiff_dtype(f), f.get(317, (1,))[0]
+    apart = f.get(284, (1,))[0] == 2
+    tiled = 322 in f
+    bw, bh = (f[322][0], f[323][0]) if tiled else (w, min(f.get(278, (h,))[0], h))
+    starts, sizes = (f[324], f[325]) if tiled else (f[273], f[279])
+    across, down = -(-w // bw), -(-h // bh)
+    out = np.zeros((h, w, len(bands)), dtype.newbyteorder("="))
+    for to, skip in [([i], b * across * down) for i, b in enumerate(bands)] if apart else [(range(len(bands)), 0)]:
+        for k in range(across * down):
+            y, x = k // across * bh, k % across * bw
+            rows = bh if tiled else min(bh, h - y)
+            raw = unpack(data[starts[skip + k] : starts[skip + k] + sizes[skip + k]])
+            block = _unpredict(raw, (rows, bw, 1 if apart else n), dtype, how)
+            out[y : y + bh, x : x + bw, to] = block[: h - y, : w - x, [0] if apart else bands]
+    return out
+
+
+#: Names under which a file tells its time, in the order in which they are asked.
+TIME_TAGS = ("TIFFTAG_DATETIME", "TIFFTAG_TIMESTAMP", "TIME", "ACQUISITION_TIME")
+
+
+def _tiff_time(f: dict) -> str | None:
+    """The acquisition time that a file's own field or its metadata items tell, as YYYY-MM-DDTHH:MM:SSZ."""
+    told = {}
+    if 42112 in f:
+        try:
+            told = {e.get("name"): e.text for e in ElementTree.fromstring(f[42112][0]).iter("Item")}
+        except ElementTree.ParseError:
+            pass
+    if 306 in f:
+        told["TIFFTAG_DATETIME"] = f[306][0].decode("ascii", "replace")
+    for name in TIME_TAGS:
+        text = (told.get(name) or "").strip()
+        try:
+            when = datetime.strptime(text[:19], "%Y:%m:%d %H:%M:%S") if text[4:5] == ":" else datetime.fromisoformat(text)
+        except ValueError:
+            continue
+        return when.strftime("%Y-%m-%dT%H:%M:%SZ")
+    return None
 
 
 def header(data: bytes) -> dict:
-    """width, height, count, dtype, crs and transform; what a format lacks is null."""
+    """width, height, count, dtype, crs, transform and time; what a format lacks is null."""
     if data[: len(PNG)] == PNG:
         w, h, depth, color = struct.unpack(">IIBB", data[16:26])
-        return {"width": w, "height": h, "count": {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color], "dtype": f"uint{depth}", "crs": None, "transform": None}
+        return {"width": w, "height": h, "count": {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color], "dtype": f"uint{depth}", "crs": None, "transform": None, "time": None}
     if data[:2] in (b"II", b"MM"):
         f = _tiff_fields(data)
         move = None
@@ -114,13 +195,20 @@ def header(data: bytes) -> dict:
             move = [sx, 0.0, x - i * sx, 0.0, -sy, y + j * sy]
         keys = f.get(34735, ())
         code = next((keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i] in (2048, 3072)), None)
-        return {"width": f[256][0], "height": f[257][0], "count": f.get(277, (1,))[0], "dtype": {"u": "uint", "i": "int", "f": "float"}[_tiff_dtype(f).kind] + str(f[258][0]), "crs": f"EPSG:{code}" if code else None, "transform": move}
+        return {"width": f[256][0], "height": f[257][0], "count": f.get(277, (1,))[0], "dtype": {"u": "uint", "i": "int", "f": "float"}[_tiff_dtype(f).kind] + str(f[258][0]), "crs": f"EPSG:{code}" if code else None, "transform": move, "time": _tiff_time(f)}
     raise ValueError("neither PNG nor TIFF")
 
 
 def decode(data: bytes, band: int = 0) -> np.ndarray:
     """One band as a two-dimensional array."""
-    return _decode_png(data) if data[: len(PNG)] == PNG else _decode_tiff(data, band)
+    return decode_bands(data, [band])[0]
+
+
+def decode_bands(data: bytes, bands: list[int] | None = None) -> list[np.ndarray]:
+    """Some bands, or all, from one pass over the file."""
+    bands = list(range(header(data)["count"])) if bands is None else bands
+    a = (_decode_png if data[: len(PNG)] == PNG else _decode_tiff)(data, bands)
+    return [a[..., i] for i in range(len(bands))]
 
 
 def encode_tiff(a: np.ndarray, origin: tuple[float, float] | None = None, pixel: float = 1.0, epsg: int = 4326) -> bytes:

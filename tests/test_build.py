@@ -61,6 +61,11 @@ def test_build(spark, tree, tmp_path):
     assert all(r.ok for r in out["findings"].where("severity = 'hard'").collect())
     again = build.build(spark, tree, str(tmp_path), C, fresh=False)
     assert sorted(map(str, again["rows"].collect())) == sorted(map(str, rows))
+    findings = out["findings"].count()
+    (tmp_path / "state/findings/_SUCCESS").unlink()
+    for f in (tmp_path / "state/findings").glob("*.parquet"):
+        f.unlink()
+    assert build.build(spark, tree, str(tmp_path), C, fresh=False)["findings"].count() == findings > 0
 
 
 def test_rerun_is_identical(spark, tree, tmp_path):
