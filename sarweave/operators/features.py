@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from sarweave.config import DEFAULT, Config
 from sarweave.operators import kernels
-from sarweave.operators.raster import TEXTURE, shapes
+from sarweave.operators.raster import TEXTURE, grid, shapes
 
 RADIOMETRY = ("damping_ratio", "damping_ratio_db", "boundary_gradient_steepness", "backscatter_variance_ratio", "glcm_contrast", "glcm_homogeneity", "ndpi")
 FIELDS = (
@@ -26,14 +26,14 @@ def _sobel(a: np.ndarray) -> np.ndarray:
     return np.hypot(gx, gy)
 
 
-def radiometry(vv: np.ndarray, vh: np.ndarray | None, mask: np.ndarray, label: np.ndarray, box: tuple[int, int, int, int], c: Config = DEFAULT) -> dict[str, float | None]:
-    """Features of one object (True in label) from decibels, within its box and a margin; None where they can't be told."""
+def radiometry(vv: np.ndarray, vh: np.ndarray | None, mask: np.ndarray, label: np.ndarray, k: int, box: tuple[int, int, int, int], c: Config = DEFAULT) -> dict[str, float | None]:
+    """Features of one object (k in label) from decibels, within its box and a margin; None where they can't be told."""
     out: dict[str, float | None] = dict.fromkeys(RADIOMETRY)
     h, w = mask.shape
     x, y, bw, bh = box
     pad = c.ring + 2
     part = np.s_[max(0, y - pad) : min(h, y + bh + pad), max(0, x - pad) : min(w, x + bw + pad)]
-    obj = label[part]
+    obj = label[part] == k
     ring = kernels.dilate(obj, kernels.disc(c.ring)) & (mask[part] == 0)
     inner, outer = vv[part][obj].astype(float), vv[part][ring].astype(float)
     power = lambda db: np.power(10.0, db / 10)
@@ -66,9 +66,8 @@ def measure(lines: DataFrame, c: Config = DEFAULT) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         grids = {}
         kinds = np.array(t["kind"].to_pylist())
-        for kind in sorted(set(kinds.tolist())):
-            part = t.filter(pa.array(kinds == kind)).sort_by("y")
-            grids[kind] = np.array([np.asarray(v, dtype=np.float32) for v in part["v"].to_pylist()])
+        for kind in sorted({"mask", "VV", "VH"} & set(kinds.tolist())):
+            grids[kind] = grid(t.filter(pa.array(kinds == kind)))[0].astype(np.float32)
         rows = []
         mask = grids.get("mask")
         vv, vh = grids.get("VV"), grids.get("VH")
@@ -76,7 +75,7 @@ def measure(lines: DataFrame, c: Config = DEFAULT) -> DataFrame:
             classes = mask.astype(np.int32)
             _, fragments = kernels.components(classes > 0)
             for value, k, label, s in shapes(classes, c.min_area):
-                more = radiometry(vv, vh, classes, label == k, (s["x"], s["y"], s["w"], s["h"]), c) if vv is not None else dict.fromkeys(RADIOMETRY)
+                more = radiometry(vv, vh, classes, label, k, (s["x"], s["y"], s["w"], s["h"]), c) if vv is not None else dict.fromkeys(RADIOMETRY)
                 rows.append((t["scene_id"][0].as_py(), len(rows), value, s["area"], s["x"], s["y"], s["w"], s["h"], s["truncated"], s["cx"], s["cy"], s["perimeter"], s["complexity"], s["aspect"], fragments, *more.values()))
         types = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
         fields = [f.split() for f in FIELDS.split(", ")]

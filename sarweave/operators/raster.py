@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,16 +142,30 @@ INSTANCE = (
 )
 
 
+def grid(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Lines (y, v) of one scene as a grid in order of y, and the y. Taken from Arrow's flat values; a null pixel is 0."""
+    y = t["y"].to_numpy()
+    flat = pc.fill_null(pa.concat_arrays(c.flatten() for c in t["v"].chunks), 0).to_numpy(zero_copy_only=False)
+    order = np.argsort(y, kind="stable")
+    return flat.reshape(len(y), -1)[order], y[order]
+
+
 def shapes(classes: np.ndarray, min_area: int):
-    """For each component that is large enough: its class, its number and the label grid, and its shape. By class, then by first pixel."""
+    """For each component that is large enough: its class, its number and the label grid, and its shape. By class, then by first pixel.
+
+    One sort by label gives the pixels of all components; the rest of the work is in each one's box.
+    """
     h, w = classes.shape
     for value in sorted({int(v) for v in np.unique(classes)} - {0}):
         label, n = kernels.components(classes == value)
-        area = np.bincount(label.ravel(), minlength=n + 1)
-        for k in np.flatnonzero(area >= min_area):
-            if k == 0:
-                continue
-            ys, xs = np.nonzero(label == k)
+        every_y, every_x = np.nonzero(label)
+        owner = label[every_y, every_x]
+        area = np.bincount(owner, minlength=n + 1)
+        ends = np.cumsum(area)
+        by_owner = np.argsort(owner, kind="stable")
+        for k in np.flatnonzero(area >= max(min_area, 1)):
+            mine = by_owner[ends[k] - area[k] : ends[k]]
+            ys, xs = every_y[mine], every_x[mine]
             x, y, x2, y2 = int(xs.min()), int(ys.min()), int(xs.max()), int(ys.max())
             points = kernels.contour(label[y : y2 + 1, x : x2 + 1] == k)
             length = kernels.perimeter(points)
@@ -171,9 +186,7 @@ def instances(classes: DataFrame, min_area: int = 20) -> DataFrame:
     """
 
     def run(t: pa.Table) -> pa.Table:
-        order = np.argsort(t["y"].to_numpy())
-        grid = np.array([t["v"][int(i)].as_py() for i in order], dtype=np.int32)
-        rows = [(t["scene"][0].as_py(), v, i, *s.values()) for i, (v, _, _, s) in enumerate(shapes(grid, min_area))]
+        rows = [(t["scene"][0].as_py(), v, i, *s.values()) for i, (v, _, _, s) in enumerate(shapes(grid(t)[0].astype(np.int32), min_area))]
         kinds = [pa.int32()] * 10 + [pa.bool_(), pa.int32(), pa.int32()] + [pa.float64()] * 3
         names = [f.split()[0] for f in INSTANCE.split(", ")]
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
@@ -185,19 +198,16 @@ def labelled_pixels(classes: DataFrame, min_area: int = 1) -> DataFrame:
     """(scene, mask_value, component, y, x) of all pixels in components that are large enough; component: the first pixel as y * 2**20 + x."""
 
     def run(t: pa.Table) -> pa.Table:
-        order = np.argsort(t["y"].to_numpy())
-        lines = t["y"].to_numpy()[order]
-        grid = np.array([t["v"][int(i)].as_py() for i in order], dtype=np.int32)
+        classes_, lines = grid(t)
         parts = []
-        for value in sorted({int(v) for v in np.unique(grid)} - {0}):
-            label, n = kernels.components(grid == value)
+        for value in sorted({int(v) for v in np.unique(classes_)} - {0}):
+            label, n = kernels.components(classes_ == value)
             area = np.bincount(label.ravel(), minlength=n + 1)
             ys, xs = np.nonzero((label > 0) & (area[label] >= min_area))
             k = label[ys, xs]
             kinds, first = np.unique(label.ravel(), return_index=True)
-            at = dict(zip(kinds.tolist(), first.tolist(), strict=True))
-            seed = np.array([at[int(c)] for c in k], dtype=np.int64)
-            w = grid.shape[1]
+            seed = first[np.searchsorted(kinds, k)].astype(np.int64)
+            w = classes_.shape[1]
             parts.append((np.full(len(k), value), lines[seed // w].astype(np.int64) * (1 << 20) + seed % w if len(k) else seed, lines[ys], xs))
         cols = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4)]
         scene = np.full(len(cols[0]), t["scene"][0].as_py())

@@ -140,17 +140,17 @@ def crop_rows(crops: DataFrame, scenes: DataFrame, places: DataFrame, instances:
 def check(rows: DataFrame, manifest: DataFrame, tiles: DataFrame) -> DataFrame:
     """Findings over the finished tables."""
     named = tiles.where("name LIKE '%_mask.png' OR name LIKE '%_VV.png'").select(F.regexp_replace("name", "_(VV|VH|mask).png$", "").alias("crop_id"))
-    return qa.report([
-        qa.several(rows, "schema", [
+    return qa.guarded(rows.sparkSession, [
+        ("schema", "cells", lambda: qa.several(rows, "schema", [
             ("required cells", "hard", S.nullish(F.col("crop_id")) | S.nullish(F.col("label")) | S.nullish(F.col("crop_bbox_corners"))),
             ("label vocabulary", "hard", ~F.col("label").isin("oil", "lookalike", "background")),
             ("coordinates on the map", "hard", ~G.at_sea(F.col("lat"), F.col("lon"))),
             ("aspect at least 1", "soft", (F.col("full_extent_area_px") > 0) & (F.col("full_extent_aspect_ratio") < 1)),
-        ]),
-        qa.empty(aggregates.duplicates(rows, "crop_id"), "schema", "unique ids", "hard", "repeated ids"),
-        qa.empty(joins.missing_both_ways(rows, named, ["crop_id"]), "files", "tiles and rows agree", "hard", "ids of one side"),
-        qa.empty(splits.leaks(manifest, "crop_source_scene_id"), "splits", "no scene in two splits", "hard", "leaking scenes"),
-        qa.empty(rows.join(manifest, "image_id", "left_anti"), "splits", "every crop in a split", "hard", "crops without a split"),
+        ])),
+        ("schema", "unique ids", lambda: qa.empty(aggregates.duplicates(rows, "crop_id"), "schema", "unique ids", "hard", "repeated ids")),
+        ("files", "tiles and rows agree", lambda: qa.empty(joins.missing_both_ways(rows, named, ["crop_id"]), "files", "tiles and rows agree", "hard", "ids of one side")),
+        ("splits", "no scene in two splits", lambda: qa.empty(splits.leaks(manifest, "crop_source_scene_id"), "splits", "no scene in two splits", "hard", "leaking scenes")),
+        ("splits", "every crop in a split", lambda: qa.empty(rows.join(manifest, "image_id", "left_anti"), "splits", "every crop in a split", "hard", "crops without a split")),
     ])
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sarweave.functions import scalars as S
 
+log = logging.getLogger(__name__)
+
 SEVERITIES = ("hard", "soft", "info")
 FINDING = ("module", "check", "severity", "ok", "message")
 
@@ -34,6 +38,21 @@ def several(table: DataFrame, module: str, checks: list[tuple[str, str, Column]]
     return counts.select(F.explode(rows).alias("f")).select(F.lit(module).alias("module"), "f.*")
 
 
+def guarded(spark: SparkSession, checks: list[tuple[str, str, Callable[[], DataFrame]]]) -> DataFrame:
+    """Findings of checks (module, check, function), each run by itself: one that fails is a hard finding, and the others go on.
+
+    Only findings come to the driver, a row for each check.
+    """
+    rows = []
+    for module, name, make in checks:
+        try:
+            rows += [tuple(r) for r in make().select(*FINDING).collect()]
+        except Exception as e:
+            rows.append((module, name, "hard", False, f"did not run: {type(e).__name__}"))
+            log.exception("check %s of %s did not run", name, module)
+    return spark.createDataFrame(rows, "module string, check string, severity string, ok boolean, message string")
+
+
 def report(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

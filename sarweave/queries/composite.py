@@ -36,8 +36,8 @@ def scene_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked = images.where("pol IS NULL").join(split, ["folder", "base"], "left_anti")
     every = images.where("pol IS NOT NULL").unionByName(stacked).join(found, "path")
     scenes = every.groupBy("folder", "base").agg(F.count("*").alias("n_files"), F.min("mask").alias("mask"))
-    repeats = F.count("*").over(Window.partitionBy("base")) > 1
-    return scenes.select("folder", "base", "n_files", F.col("mask").isNotNull().alias("has_mask"), repeats.alias("base_repeats"))
+    times = scenes.groupBy("base").agg(F.count("*").alias("times"))
+    return scenes.join(times, "base").select("folder", "base", "n_files", F.col("mask").isNotNull().alias("has_mask"), (F.col("times") > 1).alias("base_repeats"))
 
 
 _COMPACT = ORACLES["compact_crops"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sarweave.config import Config
@@ -120,10 +120,10 @@ def label_calibration_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unique_scene_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene ids: the base, with its folder before it where the base occurs twice or more."""
     part = table(spark, sf_dir, "part")
-    times = F.count("*").over(Window.partitionBy("p_name", "p_size"))
+    times = part.groupBy("p_name", "p_size").agg(F.count("*").alias("times"))
     folder = F.concat("p_type", F.lit("/ "), "p_brand")
     base = F.concat("p_name", F.col("p_size").cast("string"))
-    return part.select("p_partkey", N.scene_id(base, folder, times).alias("scene_id"))
+    return part.join(times, ["p_name", "p_size"]).select("p_partkey", N.scene_id(base, folder, F.col("times")).alias("scene_id"))
 
 
 @query("""WITH c AS (SELECT o_orderkey, [NULL, ' yes', 'Y', 'TRUE', '1', 'no', 'N', 'False', '0', 'nan', 'maybe', '', 'None'][o_orderkey % 13 + 1] AS cell FROM orders),
