@@ -27,6 +27,15 @@ def angle_between(a: Column, b: Column) -> Column:
     return F.least(d, 360 - d)
 
 
+def foot(lat: Column, lon: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> tuple[Column, Column]:
+    """The place (lat, lon) of a segment that is nearest to a point, in the flat frame around the point."""
+    east = F.cos(F.radians(lat))
+    dx, dy = (lon2 - lon1) * east, lat2 - lat1
+    t = ((lon - lon1) * east * dx + (lat - lat1) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t, F.lit(0.0))))
+    return lat1 + t * (lat2 - lat1), lon1 + t * (lon2 - lon1)
+
+
 def segment_km(lat: Column, lon: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Distance of a point to a segment in the flat frame around the point."""
     east = KM_PER_DEGREE * F.cos(F.radians(lat))

@@ -55,6 +55,19 @@ def overlaps(manifest: DataFrame, key: str) -> DataFrame:
     return m.join(other, key).where("split < other")
 
 
+def balance(manifest: DataFrame, label: str = "label", tolerance: float = 0.2) -> DataFrame:
+    """split, label, the label's share of the split and of all rows, and whether they differ by tolerance at most.
+
+    A label that a split lacks has share 0 there; a split without rows gives none. Rows without a split or label don't count.
+    """
+    n = manifest.where(F.col("split").isNotNull() & F.col(label).isNotNull()).groupBy("split", label).agg(F.count("*").alias("_n"))
+    sizes = n.groupBy("split").agg(F.sum("_n").alias("_size"))
+    every = n.groupBy(label).agg(F.sum("_n").alias("_of_label")).withColumn("_all", F.sum("_of_label").over(Window.partitionBy(F.lit(0))))
+    pairs = every.withColumn("split", F.explode(F.array(*(F.lit(s) for s in ("train", "val", "test"))))).join(sizes, "split").join(n, ["split", label], "left")
+    share, overall = F.coalesce("_n", F.lit(0)) / F.col("_size"), F.col("_of_label") / F.col("_all")
+    return pairs.select("split", label, share.alias("share"), overall.alias("overall"), (F.abs(share - overall) <= tolerance).alias("within"))
+
+
 def train_ready(rows: DataFrame) -> DataFrame:
     """Rows that may train: eligible, whole, calibrated, and of a positive label; a column that is missing passes."""
     rules = {

@@ -77,6 +77,25 @@ def perpendicular_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("c_custkey", F.round("km", 3).alias("km"), (F.col("km") <= F.greatest(F.col("offset_km") + 15, F.lit(15.0)) + 5).alias("near"))
 
 
+_COURSE = "((degrees(atan2(sin(radians({3} - {1})) * cos(radians({2})), cos(radians({0})) * sin(radians({2})) - sin(radians({0})) * cos(radians({2})) * cos(radians({3} - {1})))) + 360) % 360)"
+
+
+@query(f"""WITH {SYNTHETIC}, b AS (SELECT y.c_custkey, y.lat, y.lon, g.lat1, g.lon1, g.lat2, g.lon2, (g.lon2 - g.lon1) * cos(radians(y.lat)) AS dx, g.lat2 - g.lat1 AS dy
+  FROM synthetic y JOIN segs g ON g.id = y.corridor AND g.seg = y.seg WHERE y.offset_km >= 2),
+t AS (SELECT *, greatest(0, least(1, coalesce(((lon - lon1) * cos(radians(lat)) * dx + (lat - lat1) * dy) / nullif(dx * dx + dy * dy, 0), 0))) AS t FROM b),
+f AS (SELECT *, lat1 + t * (lat2 - lat1) AS flat, lon1 + t * (lon2 - lon1) AS flon FROM t),
+d AS (SELECT c_custkey, abs({_COURSE.format("flat", "flon", "lat", "lon")} - {_COURSE.format("lat1", "lon1", "lat2", "lon2")}) AS d FROM f)
+SELECT c_custkey, round(abs(least(d, 360 - d) - 90), 3) AS error_deg, abs(least(d, 360 - d) - 90) <= 15 AS square FROM d""")
+def offset_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic locations 2 km or more off their line: by how much the offset misses a right angle, and whether by 15 degrees at most."""
+    y = geo.synthetic_locations(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", C.corridors(spark)).where("offset_km >= 2")
+    s = C.segments(C.corridors(spark)).withColumnRenamed("id", "corridor")
+    ends = [F.col(c) for c in ("lat1", "lon1", "lat2", "lon2")]
+    off = G.bearing(*G.foot(F.col("lat"), F.col("lon"), *ends), F.col("lat"), F.col("lon"))
+    error = F.abs(G.angle_between(off, G.bearing(*ends)) - 90)
+    return y.join(F.broadcast(s), ["corridor", "seg"]).select("c_custkey", F.round(error, 3).alias("error_deg"), (error <= 15).alias("square"))
+
+
 @query(f"""WITH {PLACES} SELECT c_custkey, count_if(abs(lat) > 45 OR abs(lon) > 100)::BIGINT AS outside, count_if(lat = 0 AND lon = 0)::BIGINT AS at_zero FROM places GROUP BY c_custkey HAVING outside > 0 OR at_zero > 0""")
 def coords_in_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places out of a box, or at zero."""

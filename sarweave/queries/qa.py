@@ -92,6 +92,31 @@ def split_and_join_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings(spark, sf_dir)
 
 
+@query(f"""WITH {SPLIT_SQL}, m AS (SELECT split, crops.label FROM crops JOIN splits USING (scene)), n AS (SELECT split, count(*) AS size FROM m GROUP BY split),
+l AS (SELECT label, count(*) / sum(count(*)) OVER () AS overall FROM m GROUP BY label)
+SELECT split, label, round(count(m.label) / size, 9) AS share, round(overall, 9) AS overall, abs(count(m.label) / size - overall) <= 0.2 AS within
+FROM n CROSS JOIN l LEFT JOIN m USING (split, label) GROUP BY split, label, size, overall""")
+def split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of labels in each split against all crops."""
+    c = crops(spark, sf_dir)
+    m = c.join(splits.assign_splits(c, "scene").select("scene", "split"), "scene")
+    r = lambda x: F.round(x, 9).alias(x)
+    return splits.balance(m).select("split", "label", r("share"), r("overall"), "within")
+
+
+@query(f"""WITH {CELLS} SELECT 'schema' AS module, 'priority known' AS "check", 'soft' AS severity, count_if(priority = '') = 0 AS ok, count_if(priority = '') || ' bad rows' AS message FROM cells
+UNION ALL SELECT 'schema', 'lacks its column', 'hard', false, 'did not run: AnalysisException'
+UNION ALL SELECT 'schema', 'status present', 'hard', count(*) = 0, count(*) || ' bad rows' FROM cells WHERE status IS NULL OR lower(trim(status)) IN ('', 'nan', 'none', 'null')""")
+def guarded_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of which one can't run: it is a hard finding, and those after it are run all the same."""
+    c = cells(spark, sf_dir)
+    return qa.guarded(spark, [
+        ("schema", "priority known", lambda: qa.finding(c, "schema", "priority known", "soft", F.col("priority") == "")),
+        ("schema", "lacks its column", lambda: qa.finding(c, "schema", "lacks its column", "soft", F.col("no_such_column") == "")),
+        ("schema", "status present", lambda: qa.finding(c, "schema", "status present", "hard", S.nullish(F.col("status")))),
+    ])
+
+
 @query(f"""WITH {FINDINGS}, r AS (SELECT module, count(*) AS checks, count_if(severity = 'hard' AND NOT ok)::BIGINT AS hard_failures, count_if(severity = 'soft' AND NOT ok)::BIGINT AS soft_failures FROM findings GROUP BY module)
 SELECT *, CASE WHEN hard_failures > 0 THEN 'FAIL' WHEN soft_failures > 0 THEN 'WARN' ELSE 'PASS' END AS verdict FROM r""")
 def findings_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
