@@ -2,7 +2,7 @@
 
 Pass one sums the text bytes and fixes the number of buckets by them alone, so that a bucket fits in a
 task's memory, and counts the rows that a seeded hash sends to each. Pass two scatters the rows into
-the buckets and orders each by a seeded Fisher-Yates permutation. The buckets laid end to end
+the buckets, a partition for each, and orders each by a seeded Fisher-Yates permutation. The buckets laid end to end
 are one uniformly shuffled sequence; it is dealt to the shards in turn, so that shard sizes
 differ by one row at most. The result depends on the rows, the seed and bucket_bytes only: not on
 the order or the partitions of the input, nor on Spark's settings.
@@ -26,6 +26,8 @@ from sarweave.session import materialize, text_batches
 
 #: Most text bytes a bucket should hold.
 BUCKET_BYTES = 32 << 20
+#: Most partitions of the scatter; with more buckets each takes several neighbours, one after the other.
+PARTITIONS = 100_000
 
 
 def row_hash(docs: DataFrame, seed: int) -> Column:
@@ -69,6 +71,8 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 8, seed: int = 17, buck
     n_buckets = max(1, -(-total // bucket_bytes))
     bucket = F.pmod(F.xxhash64(F.lit(seed + 1), "__sw_k1"), F.lit(n_buckets)).cast("int")
     scattered = numbered(docs, seed).withColumn("__sw_bucket", bucket)
+    n_parts = min(n_buckets, PARTITIONS)
+    part = F.expr(f"int(bigint(__sw_bucket) * {n_parts} div {n_buckets})")
     counts = np.zeros(n_buckets, np.int64)
     for b, n in scattered.groupBy("__sw_bucket").count().toLocalIterator():
         counts[b] = n
@@ -76,17 +80,18 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 8, seed: int = 17, buck
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def ordered(key: tuple, rows: pa.Table) -> pa.Table:
-        bucket = int(key[0].as_py())
+        bucket = int(key[1].as_py())
         order = np.array(pc.sort_indices(rows, [("__sw_k1", "ascending"), ("__sw_k2", "ascending")]))
         rng = np.random.Generator(np.random.PCG64([seed, bucket]))
         for i in range(len(order) - 1, 0, -1):
             j = int(rng.integers(0, i + 1))
             order[i], order[j] = order[j], order[i]
         at = begins.value[bucket] + np.arange(len(order))
-        out = rows.drop_columns(["__sw_k1", "__sw_k2", "__sw_bucket"]).take(pa.array(order))
+        out = rows.drop_columns(["__sw_k1", "__sw_k2", "__sw_bucket", "__sw_part"]).take(pa.array(order))
         return out.append_column("shard", pa.array((at % n_shards).astype(np.int32))).append_column("slot", pa.array(at // n_shards))
 
-    return scattered.groupBy("__sw_bucket").applyInArrow(ordered, schema)
+    dealt = scattered.withColumn("__sw_part", part).repartitionById(n_parts, "__sw_part")
+    return dealt.groupBy("__sw_part", "__sw_bucket").applyInArrow(ordered, schema)
 
 
 def write_shards(shards: DataFrame, path: str) -> None:

@@ -75,3 +75,14 @@ def test_columns_of_any_type(spark):
     docs = spark.createDataFrame([(1, "a", {"k": 1}, [1.5])] * 3 + [(1, "a", {"k": 2}, None)], "doc_id long, text string, m map<string,int>, l array<double>")
     out = sharding.shuffle_into_shards(docs.withColumn("shard", F.lit("x")), 2)
     assert out.count() == 4 and out.columns == [*docs.columns, "shard", "slot"] and sharding.shuffle_into_shards(docs.limit(0)).count() == 0
+
+
+def test_a_partition_for_each_bucket(spark, monkeypatch):
+    docs = odd(spark)
+    n = -(-docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] // 20_000)
+    out = sharding.shuffle_into_shards(docs, 7, bucket_bytes=20_000)
+    want = placed(out)
+    assert out.rdd.getNumPartitions() == n > 8
+    monkeypatch.setattr(sharding, "PARTITIONS", 5)
+    out = sharding.shuffle_into_shards(docs, 7, bucket_bytes=20_000)
+    assert out.rdd.getNumPartitions() == 5 and placed(out) == want
