@@ -7,7 +7,8 @@ need a whole scene (components, contours) run once per scene over Arrow.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,22 +77,39 @@ def texture(lines: DataFrame, low: float = -30.0, high: float = 0.0) -> DataFram
     return each.select("scene", mean("c").alias("contrast"), mean("h").alias("homogeneity"))
 
 
-def integral(points: DataFrame, value: Column) -> DataFrame:
-    """Of (scene, y, x): sums of value over all pixels not below and not right of each."""
-    along = Window.partitionBy("scene", "y").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("scene", "x").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
-    return points.withColumn("_r", F.sum(value).over(along)).withColumn("total", F.sum("_r").over(down)).drop("_r")
+def window_sums(lines: DataFrame, side: int, step: int) -> DataFrame:
+    """Of lines of whole numbers: the sum of each window of side x side whose origin (y0, x0) lies on a grid of step.
 
+    The integral image is built line by line, in order of y, from a scene's first line on; only its last side lines are
+    held, however long the scene. A line that is missing and a null pixel count as zeros.
+    """
 
-def window_sums(table: DataFrame, side: int, step: int) -> DataFrame:
-    """Of an integral table: the sum of each window of side x side whose origin lies on a grid of step, by four corners."""
-    key = lambda dy, dx, name: table.select("scene", (F.col("y") + dy).alias("y0"), (F.col("x") + dx).alias("x0"), F.col("total").alias(name))
-    grid = table.where((F.col("y") % step == 0) & (F.col("x") % step == 0)).select("scene", F.col("y").alias("y0"), F.col("x").alias("x0"))
-    out = grid.join(key(1 - side, 1 - side, "a"), ["scene", "y0", "x0"])
-    for dy, dx, name in ((1, 1 - side, "b"), (1 - side, 1, "c"), (1, 1, "d")):
-        out = out.join(key(dy, dx, name), ["scene", "y0", "x0"], "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return out.select("scene", "y0", "x0", (F.col("a") - zero("b") - zero("c") + zero("d")).alias("total"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scene, y, held = None, 0, deque(maxlen=side + 1)
+        for b in batches:
+            out: list[tuple] = []
+            for name, line, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                row = np.concatenate(([0], np.cumsum(pc.fill_null(v.values, 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+                if name != scene:
+                    scene, y = name, line
+                    held.clear()
+                    held.append(np.zeros_like(row))
+                while y <= line:
+                    held.append(held[-1] + row if y == line else held[-1])
+                    y += 1
+                    if len(held) > side and (y - side) % step == 0:
+                        x0 = np.arange(0, len(row) - side, step)
+                        total = held[-1] - held[0]
+                        out.append((name, y - side, x0, total[x0 + side] - total[x0]))
+            n = [len(o[2]) for o in out]
+            flat = lambda k: np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64)  # noqa: B023, E731
+            place = np.repeat(np.array([o[1] for o in out], np.int64), n)
+            name = pa.array([o[0] for o in out], b.schema.field(0).type).take(pa.array(np.repeat(np.arange(len(out)), n)))
+            yield pa.RecordBatch.from_arrays([name, pa.array(place), pa.array(flat(2).astype(np.int32)), pa.array(flat(3))], names=["scene", "y0", "x0", "total"])
+
+    kind = lines.schema["scene"].dataType.simpleString()
+    ordered = lines.select("scene", F.col("y").cast("long"), "v").repartition("scene").sortWithinPartitions("scene", "y")
+    return ordered.mapInArrow(run, f"scene {kind}, y0 long, x0 int, total long")
 
 
 def clear_windows(positive: DataFrame, sizes: DataFrame, side: int, step: int, buffer: int) -> DataFrame:

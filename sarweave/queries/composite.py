@@ -81,7 +81,10 @@ def keyed_rng_determinism(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", F.round(S.unit(k, 42, "draw"), 9).alias("draw"), (S.unit(k, 42, "side") < 0.5).alias("left_side"))
 
 
-@query()
+@query("""WITH p AS (SELECT DISTINCT label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+side AS (SELECT a.label, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM p a JOIN p b ON a.label = b.label AND (a.x != b.x OR a.y != b.y)),
+outer_ AS (SELECT s.* FROM side s WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.label = s.label AND (bx - ax) * (c.y - ay) - (by_ - ay) * (c.x - ax) < 0))
+SELECT label, count(*)::INT AS n_corners, round(sum(ax * by_ - bx * ay) / 2, 9) AS area FROM outer_ GROUP BY label""")
 def convex_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hull of the points of each label: corners and area."""
     e = table(spark, sf_dir, "embeddings").select("label", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))

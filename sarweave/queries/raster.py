@@ -28,6 +28,22 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY sha1((y0 * 4
 negative AS (SELECT scene, y0, x0 FROM placed WHERE n <= 4)"""
 
 
+
+def _axis(start: str, length: str, limit: int) -> str:
+    """SQL of the origins of 8-pixel windows over length pixels from start, at a stride of 4."""
+    n = f"greatest(ceil(({length} - 8) / 4), 0)"
+    first = f"CASE WHEN {length} <= 8 THEN {start} + floor(({length} - 8) / 2) ELSE {start} END"
+    at = f"round_even({first} + k * CASE WHEN {n} > 0 THEN ({length} - 8) / {n} ELSE 0 END, 0)"
+    return f"list_sort(list_distinct([greatest(0, least({at}, {limit - 8}))::INT FOR k IN range(0, {n}::BIGINT + 1)]))"
+
+
+_HALVED = ", ".join(
+    f"""t{k + 1} AS (SELECT scene, instance_index, CASE WHEN len(xs) * len(ys) > 48 AND len(xs) >= len(ys) THEN xs[1:len(xs):2] ELSE xs END AS xs,
+  CASE WHEN len(xs) * len(ys) > 48 AND len(xs) < len(ys) THEN ys[1:len(ys):2] ELSE ys END AS ys FROM t{k})"""
+    for k in range(4)
+)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.floor(F.col("vec_id") / 50).alias("scene"), (F.col("vec_id") % 50).alias("y"), F.col("embedding").cast("array<double>").alias("v"))
@@ -163,9 +179,7 @@ LEFT JOIN t b ON b.scene = a.scene AND b.y = a.y - 8 AND b.x = a.x LEFT JOIN t c
 WHERE a.y >= 7 AND a.x >= 7 AND (a.y - 7) % 4 = 0 AND (a.x - 7) % 4 = 0""")
 def integral_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positives in 8 x 8 windows on a grid of 4, by an integral image."""
-    p = raster.pixels(classes(spark, sf_dir))
-    t = raster.integral(p, (F.col("v") == 1).cast("int"))
-    return raster.window_sums(t, 8, 4)
+    return raster.window_sums(raster.map_lines(classes(spark, sf_dir), lambda v: (v == 1).cast("int")), 8, 4)
 
 
 @query(f"WITH {NEGATIVE} SELECT * FROM negative")
@@ -242,15 +256,17 @@ def compact_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(f"""WITH RECURSIVE {COMP}, i AS (SELECT *, (row_number() OVER (PARTITION BY scene ORDER BY mask_value, first) - 1)::INT AS instance_index FROM inst WHERE area >= 3),
+t0 AS (SELECT scene, instance_index, {_axis("x", "w", 64)} AS xs, {_axis("y", "h", 50)} AS ys FROM i WHERE w > 8 OR h > 8), {_HALVED},
+tile AS (SELECT scene, instance_index, y0, unnest(xs) AS x0 FROM (SELECT scene, instance_index, xs, unnest(ys) AS y0 FROM t4))
+SELECT scene, y0, x0, instance_index FROM tile t WHERE EXISTS (SELECT 1 FROM pos p WHERE p.scene = t.scene AND p.y BETWEEN y0 AND y0 + 7 AND p.x BETWEEN x0 AND x0 + 7)""")
 def overflow_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles over objects larger than one window, those with a positive pixel, at most 48 per object."""
     i = components(spark, sf_dir).where("w > 8 OR h > 8").select("scene", "instance_index", "x", "y", "w", "h")
     xs, ys = (raster.axis_positions(F.col(a), F.col(n), F.lit(limit), 8, 4) for a, n, limit in (("x", "w", 64), ("y", "h", 50)))
     tx, ty = raster.thinned(xs, ys, 48)
     t = i.select("scene", "instance_index", F.explode(ty).alias("y0"), tx.alias("xs")).select("scene", "instance_index", "y0", F.explode("xs").alias("x0"))
-    sums = raster.integral(raster.pixels(classes(spark, sf_dir)), (F.col("v") > 0).cast("int"))
-    filled = raster.window_sums(sums, 8, 1).where("total > 0").select(F.col("scene").cast("int").alias("scene"), F.col("y0").cast("int").alias("y0"), F.col("x0").cast("int").alias("x0"))
+    filled = raster.window_sums(raster.map_lines(classes(spark, sf_dir), lambda v: (v > 0).cast("int")), 8, 1).where("total > 0").select(F.col("scene").cast("int").alias("scene"), F.col("y0").cast("int").alias("y0"), F.col("x0").cast("int").alias("x0"))
     return t.join(filled, ["scene", "y0", "x0"], "left_semi")
 
 
