@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -108,14 +110,16 @@ def find_pii(text: str | None) -> list[tuple[str, int, int, float]]:
     if not text:
         return []
     found = base_spans(text)
-    taken = [(a, b) for a, _, b in found]
+    begins, ends = [a for a, _, _ in found], list(accumulate((b for _, _, b in found), max))
     more = [(m.start(), 4, m.end()) for m in IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
     more += [(m.start(), 5, m.end()) for m in SSN.finditer(text)]
     if '"' in text or "'" in text:
         more += [(m.start(), 6, m.end()) for m in SECRET.finditer(text)]
     scored = [(a, k, b, score(text, a, b, KINDS[k])) for a, k, b in found]
     for a, k, b in more:
-        if (s := score(text, a, b, KINDS[k])) >= MIN_SCORE and (k == 4 or not any(x <= a and b <= y for x, y in taken)):
+        # Of the base spans that begin no later, one holds this span if the one that reaches furthest does.
+        before = bisect_right(begins, a)
+        if (s := score(text, a, b, KINDS[k])) >= MIN_SCORE and (k == 4 or not before or ends[before - 1] < b):
             scored.append((a, k, b, s))
     return [(KINDS[k], a, b, s) for a, k, b, s in sorted(scored)]
 

@@ -134,6 +134,18 @@ def test_iban_beside_a_card():
     assert [k for k, *_ in pii.find_pii('token = "ab4111111111111111cd41111111111111aa"')] == ["secret", "card"]
 
 
+def test_added_spans_within_base_ones():
+    """An ssn or secret goes where one base span, whichever, holds all of it."""
+    parts = ("ssn 123-45-6789 ", "4111 1111 1111 1111 ", "+1 123-45-6789 ", "mail a@b.co ", f"key '{'a1' * 16}' ", "+12 (123) 123-45-6789 ", f'"{"4111111111111111" * 2}" ')
+    r = random.Random(1)
+    for _ in range(100):
+        t = "".join(r.choice(parts) for _ in range(30))
+        base = pii.base_spans(t)
+        for kind, pattern in (("ssn", pii.SSN), ("secret", pii.SECRET)):
+            want = [m.span() for m in pattern.finditer(t) if pii.score(t, *m.span(), kind) >= pii.MIN_SCORE and not any(a <= m.start() and m.end() <= b for a, _, b in base)]
+            assert want == [(a, b) for k, a, b, _ in pii.find_pii(t) if k == kind]
+
+
 def test_pii_query(spark, tmp_path):
     rows = [(1, "mail a.b@c.de or +1 (743) 555-3824", "x"), (2, None, "x"), (None, "", "x"), (3, "é 10.0.0.255 ü 4111 1111 1111 1111", "x"), (3, "é 10.0.0.255 ü 4111 1111 1111 1111", "x")]
     spark.createDataFrame(rows, "doc_id long, text string, pii string").write.parquet(f"{tmp_path}/documents.parquet")
