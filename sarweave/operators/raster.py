@@ -160,10 +160,19 @@ INSTANCE = (
 )
 
 
-def grid(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Lines (y, v) of one scene as a grid in order of y, and the y. Taken from Arrow's flat values; a null pixel is 0."""
+def grid(t: pa.Table, size: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Lines (y, v) of one scene as a grid in order of y, and the y. Taken from Arrow's flat values; a null pixel is 0.
+
+    With a size (h, w) each line lies at its y in a grid of that size; lines that are missing are zeros.
+    """
     y = t["y"].to_numpy()
     flat = pc.fill_null(pa.concat_arrays(c.flatten() for c in t["v"].chunks), 0).to_numpy(zero_copy_only=False)
+    if size is not None:
+        if y.min() < 0 or y.max() >= size[0]:
+            raise ValueError(f"lines {y.min()} to {y.max()} do not fit a scene of {size[0]}")
+        out = np.zeros(size, flat.dtype)
+        out[y] = flat.reshape(len(y), size[1])
+        return out, np.arange(size[0])
     order = np.argsort(y, kind="stable")
     return flat.reshape(len(y), -1)[order], y[order]
 
@@ -197,14 +206,15 @@ def shapes(classes: np.ndarray, min_area: int):
             }
 
 
-def instances(classes: DataFrame, min_area: int = 20) -> DataFrame:
+def instances(classes: DataFrame, min_area: int = 20, size: tuple[int, int] | None = None) -> DataFrame:
     """Of class lines (scene, y, v ARRAY<INT>, 0 is background): the 8-connected components of each class that are large enough, with shapes.
 
-    One scene is one group; instance_index counts by class, then by first pixel in raster order.
+    One scene is one group; instance_index counts by class, then by first pixel in raster order. Without a size (h, w) of the scenes, a scene
+    is the lines it has, side by side; with it, missing lines are background and the border is that of the size.
     """
 
     def run(t: pa.Table) -> pa.Table:
-        rows = [(t["scene"][0].as_py(), v, i, *s.values()) for i, (v, _, _, s) in enumerate(shapes(grid(t)[0].astype(np.int32), min_area))]
+        rows = [(t["scene"][0].as_py(), v, i, *s.values()) for i, (v, _, _, s) in enumerate(shapes(grid(t, size)[0].astype(np.int32), min_area))]
         kinds = [pa.int32()] * 10 + [pa.bool_(), pa.int32(), pa.int32()] + [pa.float64()] * 3
         names = [f.split()[0] for f in INSTANCE.split(", ")]
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
