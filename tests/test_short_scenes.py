@@ -21,7 +21,7 @@ def short(tmp_path_factory):
     return str(d)
 
 
-@pytest.mark.parametrize("name", ["components_area_bbox", "fragment_count", "negative_windows", "pad_or_tile"])
+@pytest.mark.parametrize("name", ["components_area_bbox", "crop_rows", "fragment_count", "negative_windows", "pad_or_tile"])
 def test_scenes_that_lack_lines(spark, short, name):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{short}/embeddings.parquet'")
